@@ -1,0 +1,93 @@
+"""Records of a quoted CSV file whose fields may hold line breaks, read in parallel.
+
+A reader that has to see a file from its first byte takes one task per file, however
+large the file. Here the text scan splits the file into blocks as usual. Whether a
+line break lies inside quotes only depends on the number of quotes before it being
+odd, so one small row per block (its quote parity, its record count) is enough to
+number the records of a whole file. Fields that hold a quote must be quoted, and
+quotes inside them doubled.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+_BLOCK = ["_file", "_block"]
+
+
+def quoted_records(spark: SparkSession, path: str, line_end: str) -> DataFrame:
+    """One row per CSV record, column ``record``, without the header of each file."""
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
+    lines = (
+        spark.read.option("lineSep", line_end)
+        .text(path)
+        .select(
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_pos"),
+            "value",
+            (quotes % 2).alias("_odd"),
+        )
+    )
+
+    # Inside a block, which a scan task bounds in size: quote parity before each line,
+    # and the records begun so far for either parity the block may start with.
+    in_block = Window.partitionBy(*_BLOCK).orderBy("_pos")
+    up_to_here = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.sum("_odd").over(
+        in_block.rowsBetween(Window.unboundedPreceding, -1)
+    )
+    lines = lines.withColumn("_open", F.coalesce(before, F.lit(0)) % 2).select(
+        "*",
+        F.count_if(F.col("_open") == 0).over(up_to_here).alias("_begun_even"),
+        F.count_if(F.col("_open") == 1).over(up_to_here).alias("_begun_odd"),
+    )
+
+    # One row per block: where the file stands when the block starts.
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    begun = F.when(F.col("_start") == 0, F.col("_even")).otherwise(F.col("_odds"))
+    blocks = (
+        lines.groupBy(*_BLOCK)
+        .agg(
+            F.sum("_odd").alias("_quotes"),
+            F.max("_begun_even").alias("_even"),
+            F.max("_begun_odd").alias("_odds"),
+        )
+        .withColumn("_start", F.coalesce(F.sum("_quotes").over(earlier), F.lit(0)) % 2)
+        .withColumn("_base", F.coalesce(F.sum(begun).over(earlier), F.lit(0)))
+        .select(*_BLOCK, "_start", "_base")
+    )
+
+    numbered = lines.join(blocks, _BLOCK).select(
+        "_file",
+        "_block",
+        "_pos",
+        "value",
+        "_odd",
+        (F.col("_open") == F.col("_start")).alias("_starts"),
+        (
+            F.col("_base")
+            + F.when(F.col("_start") == 0, F.col("_begun_even")).otherwise(
+                F.col("_begun_odd")
+            )
+        ).alias("_record"),
+    )
+    # Record 1 of a file is its header; a record without any text is an empty line.
+    body = numbered.filter(F.col("_record") > 1)
+
+    # A line that begins a record with balanced quotes is the whole record. Only the
+    # others are brought together, a handful of lines per record.
+    whole = F.col("_starts") & (F.col("_odd") == 0)
+    not_empty = F.col("value") != ""
+    pieces = F.array_sort(F.collect_list(F.struct("_block", "_pos", "value")))
+    joined = (
+        body.filter(~whole)
+        .groupBy("_file", "_record")
+        .agg(F.array_join(F.transform(pieces, lambda p: p["value"]), line_end).alias("record"))
+    )
+    return body.filter(whole & not_empty).select(F.col("value").alias("record")).union(
+        joined.select("record")
+    )
