@@ -1,11 +1,11 @@
 """Many-to-one joins that stay balanced when one key holds much of the data.
 
-Spark itself broadcasts a lookup whose estimated size is below
-``spark.sql.autoBroadcastJoinThreshold``. Beyond that size the join shuffles, and a
-hot key would put its whole group into one task. ``lookup_join`` then spreads each
-lookup key over a fixed number of salts: the lookup side, which is far smaller than
-the rows it describes, is repeated per salt and the rows pick one salt each. Both
-sides are fresh shuffles, so the adaptive skew join can split further at run time.
+A lookup whose source files are below ``spark.sql.autoBroadcastJoinThreshold`` is
+broadcast. Beyond that size the join shuffles, and a hot key would put its whole group
+into one task. ``lookup_join`` then spreads each lookup key over a fixed number of
+salts: the lookup side, which is far smaller than the rows it describes, is repeated
+per salt and the rows pick one salt each. Both sides are fresh shuffles, so the
+adaptive skew join can split further at run time.
 """
 
 from __future__ import annotations
@@ -19,20 +19,29 @@ SALTS = 16
 _UNITS = {"k": 10, "kb": 10, "m": 20, "mb": 20, "g": 30, "gb": 30, "b": 0, "": 0}
 
 
-def _bytes(setting: str) -> int:
+def parse_bytes(setting: str) -> int:
     digits = setting.strip().lower()
     number = digits.rstrip("kmgb")
     return int(number) << _UNITS[digits[len(number):]] if int(number) > 0 else -1
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate: the number its own broadcast decision uses."""
+    """Size of ``df`` as far as it can be known before it runs.
+
+    Catalyst multiplies both sides of an outer join. A lookup is built of scans,
+    filters, aggregates and other many-to-one joins, none of which adds rows, so the
+    tables it reads bound it as well; the smaller of the two counts.
+    """
     plan = df._jdf.queryExecution().optimizedPlan()
-    return int(str(plan.stats().sizeInBytes()))
+    leaves = plan.collectLeaves()
+    read = sum(
+        int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())
+    )
+    return min(int(str(plan.stats().sizeInBytes())), read)
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    return _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    return parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
 
 
 def lookup_join(
@@ -49,7 +58,7 @@ def lookup_join(
     picks the salt, so a retried task routes each row the same way again.
     """
     if estimated_bytes(lookup) <= broadcast_limit(lookup):
-        return rows.join(lookup, on, how)
+        return rows.join(F.broadcast(lookup), on, how)
     spread_over = list(spread or [c for c in rows.columns if c != on])
     salted_rows = rows.withColumn(
         "_salt", F.pmod(F.xxhash64(*spread_over), F.lit(salts)).cast("int")

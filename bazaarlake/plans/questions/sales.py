@@ -56,7 +56,7 @@ def status_funnel(wh: Warehouse) -> DataFrame:
 def weekday_profile(wh: Warehouse) -> DataFrame:
     """Orders and revenue per weekday of the calendar."""
     # Bounded: one row per day of the calendar.
-    days = F.broadcast(wh.dim_date().select("calendar_date", "day_of_week", "day_name"))
+    days = F.broadcast(wh.gold("dim_date").select("calendar_date", "day_of_week", "day_name"))
     sales = wh.fact_orders(valid_only=True, customer=False)
     return (
         sales.join(days, sales["purchase_date"] == days["calendar_date"])

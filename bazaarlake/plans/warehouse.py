@@ -6,7 +6,7 @@ loaded layers reads what was written. Reports cannot tell the difference.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +21,17 @@ from bazaarlake.sources.csv_files import SOURCES, accepted
 from bazaarlake.sources.schemas import SILVER
 from bazaarlake.sources.tables import read_table
 
+DIMENSIONS = ("dim_customers", "dim_products", "dim_sellers", "dim_date")
+FACTS = ("fact_order_items", "fact_payments", "fact_reviews", "fact_orders")
+GOLD_TABLES = DIMENSIONS + FACTS
+
 
 class Warehouse:
     """Access to the raw, cleansed and star-schema tables.
 
-    ``raw`` maps a raw table name to its DataFrame. ``silver`` and ``gold`` are
-    optional functions of the same kind for layers that are already loaded.
+    ``raw`` maps a raw table name to its DataFrame, ``silver`` likewise where that layer
+    is loaded. ``gold`` holds the star tables that are loaded, by name; the others are
+    derived.
     """
 
     def __init__(
@@ -35,20 +40,20 @@ class Warehouse:
         raw: Callable[[str], DataFrame],
         params: ReportParams = ReportParams(),
         silver: Callable[[str], DataFrame] | None = None,
-        gold: Callable[[str], DataFrame] | None = None,
+        gold: Mapping[str, DataFrame] | None = None,
     ):
         self.spark = spark
         self.params = params
         self.raw = raw
         self._silver = silver
-        self._gold = gold
+        self._gold = dict(gold or {})
         self._built: dict[str, DataFrame] = {}
 
     @classmethod
     def from_tables(
-        cls, spark: SparkSession, config: WarehouseConfig, gold: bool = False
+        cls, spark: SparkSession, config: WarehouseConfig, gold: Sequence[str] = ()
     ) -> Warehouse:
-        """Over loaded layers; ``gold=True`` also reads the written star schema."""
+        """Over loaded raw and cleansed layers, and the star tables named in ``gold``."""
 
         def raw(name: str) -> DataFrame:
             path = config.table_path("bronze", name)
@@ -57,10 +62,8 @@ class Warehouse:
         def silver(name: str) -> DataFrame:
             return read_table(spark, config.table_path("silver", name), SILVER[name])
 
-        def star(name: str) -> DataFrame:
-            return read_table(spark, config.table_path("gold", name))
-
-        return cls(spark, raw, config.params, silver, star if gold else None)
+        star = {name: read_table(spark, config.table_path("gold", name)) for name in gold}
+        return cls(spark, raw, config.params, silver, star)
 
     # -- cleansed tables ---------------------------------------------------------------
 
@@ -71,29 +74,29 @@ class Warehouse:
             )
         return self._built[name]
 
-    # -- dimensions --------------------------------------------------------------------
+    # -- star schema -------------------------------------------------------------------
+
+    def gold(self, name: str) -> DataFrame:
+        """Star table ``name``, loaded or derived."""
+        if name not in GOLD_TABLES:
+            raise KeyError(name)
+        return self._gold[name] if name in self._gold else getattr(self, f"_{name}")()
 
-    def dim_customers(self) -> DataFrame:
-        if self._gold:
-            return self._gold("dim_customers")
+    def _dim_customers(self) -> DataFrame:
         return dims.dim_customers(self.silver("customers"), self.silver("geolocation"))
 
-    def dim_products(self) -> DataFrame:
-        if self._gold:
-            return self._gold("dim_products")
+    def _dim_products(self) -> DataFrame:
         return dims.dim_products(self.silver("products"))
 
-    def dim_sellers(self) -> DataFrame:
-        if self._gold:
-            return self._gold("dim_sellers")
+    def _dim_sellers(self) -> DataFrame:
         return dims.dim_sellers(self.silver("sellers"), self.silver("geolocation"))
 
-    def dim_date(self) -> DataFrame:
+    def _dim_date(self) -> DataFrame:
         return calendar(self.spark, self.params.calendar_from, self.params.calendar_to)
 
     def _keys(self, table: str, key: str, source_id: str) -> DataFrame:
-        if self._gold:
-            return self._gold(f"dim_{table}").select(source_id, key)
+        if f"dim_{table}" in self._gold:
+            return self._gold[f"dim_{table}"].select(source_id, key)
         return add_surrogate_key(self.silver(table).select(source_id), key, source_id)
 
     # The keys are numbered and written once; all facts of this object share them.
@@ -110,12 +113,11 @@ class Warehouse:
     def seller_keys(self) -> DataFrame:
         return self._keys("sellers", "seller_key", "seller_id")
 
-    # -- facts -------------------------------------------------------------------------
-
     def fact_orders(self, valid_only: bool = False, customer: bool = True) -> DataFrame:
-        if self._gold:
-            written = self._gold("fact_orders")
-            return written.filter(F.col("is_valid_sale") == 1) if valid_only else written
+        """Order facts; see ``facts.fact_orders`` for what the two switches leave out."""
+        if "fact_orders" in self._gold:
+            loaded = self._gold["fact_orders"]
+            return loaded.filter(F.col("is_valid_sale") == 1) if valid_only else loaded
         return facts.fact_orders(
             self.silver("orders"),
             self.silver("customers") if customer else None,
@@ -125,35 +127,35 @@ class Warehouse:
             valid_only,
         )
 
-    def fact_order_items(self) -> DataFrame:
+    def _fact_orders(self) -> DataFrame:
+        return self.fact_orders()
+
+    def _fact_order_items(self) -> DataFrame:
         return facts.fact_order_items(
             self.silver("order_items"),
             self.silver("orders"),
             self.customer_keys,
             self.product_keys,
             self.seller_keys,
-            self.dim_date(),
+            self.gold("dim_date"),
         )
 
-    def fact_payments(self) -> DataFrame:
+    def _fact_payments(self) -> DataFrame:
         return facts.fact_payments(
             self.silver("order_payments"),
             self.silver("orders"),
             self.customer_keys,
-            self.dim_date(),
+            self.gold("dim_date"),
         )
 
-    def fact_reviews(self) -> DataFrame:
+    def _fact_reviews(self) -> DataFrame:
         return facts.fact_reviews(
             self.silver("order_reviews"),
             self.silver("orders"),
             self.customer_keys,
-            self.dim_date(),
+            self.gold("dim_date"),
         )
 
-    def gold(self, name: str) -> DataFrame:
-        return getattr(self, name)()
-
     # -- report inputs -----------------------------------------------------------------
 
     def product_categories(self) -> DataFrame:
@@ -167,7 +169,7 @@ class Warehouse:
 
         Valid orders only; that an order has items is implied by joining them to it.
         """
-        if self._gold:
+        if "fact_orders" in self._gold:
             return self.fact_orders(valid_only=True).select(
                 "order_id", "is_late", "review_score"
             )

@@ -67,7 +67,11 @@ def _options(source: CsvSource, raw_quotes: bool) -> dict[str, str]:
 
 
 def read_raw(
-    spark: SparkSession, source: CsvSource, path: str, raw_quotes: bool = False
+    spark: SparkSession,
+    source: CsvSource,
+    path: str,
+    raw_quotes: bool = False,
+    header: bool = True,
 ) -> DataFrame:
     """Typed rows plus ``_bad_line``: the text of a line that does not fit, else NULL.
 
@@ -76,14 +80,14 @@ def read_raw(
     """
     options = _options(source, raw_quotes)
     if source.line_breaks_in_text:
-        parsed = F.from_csv("record", source.landing_schema.simpleString()[7:-1], options)
+        parsed = F.from_csv(F.col("record"), source.landing_schema.toDDL(), options)
         return (
-            quoted_records(spark, path, source.line_end)
+            quoted_records(spark, path, source.line_end, header)
             .select(parsed.alias("row"))
             .select("row.*")
         )
     reader = spark.read.schema(source.landing_schema).options(**options)
-    return reader.option("header", "true").csv(path)
+    return reader.option("header", header).csv(path)
 
 
 def accepted(landed: DataFrame) -> DataFrame:

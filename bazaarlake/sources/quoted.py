@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 _BLOCK = ["_file", "_block"]
 
 
-def quoted_records(spark: SparkSession, path: str, line_end: str) -> DataFrame:
+def quoted_records(
+    spark: SparkSession, path: str, line_end: str, header: bool = True
+) -> DataFrame:
     """One row per CSV record, column ``record``, without the header of each file."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
     lines = (
@@ -76,7 +78,7 @@ def quoted_records(spark: SparkSession, path: str, line_end: str) -> DataFrame:
         ).alias("_record"),
     )
     # Record 1 of a file is its header; a record without any text is an empty line.
-    body = numbered.filter(F.col("_record") > 1)
+    body = numbered.filter(F.col("_record") > (1 if header else 0))
 
     # A line that begins a record with balanced quotes is the whole record. Only the
     # others are brought together, a handful of lines per record.

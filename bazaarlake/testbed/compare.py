@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, FloatType, IntegralType
 
 
@@ -11,10 +10,10 @@ def comparable(df: DataFrame) -> DataFrame:
     """Whole numbers as BIGINT, decimals as DOUBLE; all else as it is."""
     columns = []
     for field in df.schema:
-        c = F.col(field.name)
         if isinstance(field.dataType, IntegralType):
-            c = c.cast("bigint")
+            columns.append(f"CAST({field.name} AS BIGINT) AS {field.name}")
         elif isinstance(field.dataType, (DecimalType, FloatType)):
-            c = c.cast("double")
-        columns.append(c.alias(field.name))
-    return df.select(*columns)
+            columns.append(f"CAST({field.name} AS DOUBLE) AS {field.name}")
+        else:
+            columns.append(field.name)
+    return df.selectExpr(*columns)

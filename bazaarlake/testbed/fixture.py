@@ -13,7 +13,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlake.config import ReportParams
-from bazaarlake.sources.schemas import BRONZE, conform
+from bazaarlake.operators.lookup import estimated_bytes, parse_bytes
+from bazaarlake.sources.schemas import BRONZE, conform, declared
 
 # Windows and thresholds that select something, but not everything, of this data.
 PARAMS = ReportParams(
@@ -105,7 +106,7 @@ _REVIEW = {
     f"{_text('o_orderkey % 7')} END",
     "review_comment_message": "CASE WHEN o_orderkey % 15 = 0"
     " THEN 'said \"fine\", then' || chr(13) || chr(10) || 'left'"
-    " WHEN o_orderkey % 3 = 0 THEN 'slow, but' || chr(10) || 'arrived' END",
+    " WHEN o_orderkey % 3 = 0 THEN 'slow, but' || chr(13) || chr(10) || 'arrived' END",
     "review_creation_date": f"o_orderdate + {_days('5 + o_orderkey % 9')}",
     "review_answer_timestamp": f"o_orderdate + {_days('5 + o_orderkey % 9 + o_orderkey % 7')}"
     " + INTERVAL '3' HOUR",
@@ -213,7 +214,36 @@ RAW_SQL: dict[str, str] = {
     ),
 }
 
-_STAR_TABLES = ("customer", "supplier", "part", "orders", "lineitem")
+_STAR_SCHEMAS = {
+    table: declared(columns)
+    for table, columns in {
+        "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double,"
+        " c_mktsegment string",
+        "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+        "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int,"
+        " p_retailprice double",
+        "orders": "o_orderkey long, o_custkey long, o_orderstatus string,"
+        " o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+        "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int,"
+        " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+        " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    }.items()
+}
+_SPREAD_FROM = 1 << 20
+
+
+def _star_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A test table, spread over the cores where its scan would be a single task.
+
+    The test files hold one row group each, which one task has to read. Files above
+    the split size come in many tasks anyway and are taken as they are.
+    """
+    schema = _STAR_SCHEMAS[table]
+    df = spark.read.schema(schema).parquet(f"{sf_dir}/{table}.parquet")
+    split = parse_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    if _SPREAD_FROM < estimated_bytes(df) < split:
+        df = df.repartition(spark.sparkContext.defaultParallelism, schema.names[0])
+    return df
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
@@ -222,12 +252,12 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
     def raw(name: str) -> DataFrame:
         sql = RAW_SQL[name]
         frames = {}
-        for table in _STAR_TABLES:
+        for table in _STAR_SCHEMAS:
             for clause in ("FROM", "JOIN"):
                 reference = f"{clause} {table}"
                 if reference in sql:
                     sql = sql.replace(reference, f"{clause} {{{table}}}")
-                    frames[table] = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+                    frames[table] = _star_table(spark, sf_dir, table)
         return conform(spark.sql(sql, **frames), BRONZE[name])
 
     return raw

@@ -1,0 +1,16 @@
+"""Queries the benchmark times: every report and the tables they rest on."""
+
+from __future__ import annotations
+
+from bazaarlake.plans.questions import QUESTIONS
+
+HEADLINE = [
+    "silver_geolocation",
+    "silver_products",
+    "gold_dim_customers",
+    "gold_fact_order_items",
+    "gold_fact_payments",
+    "gold_fact_reviews",
+    "gold_fact_orders",
+    *QUESTIONS,
+]

@@ -6,53 +6,69 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarlake.operators.checks import grain_check
-from bazaarlake.plans import facts
+from bazaarlake.operators import rollups
+from bazaarlake.plans import quality
 from bazaarlake.plans.calendar import calendar_covering
 from bazaarlake.plans.questions import QUESTIONS
-from bazaarlake.plans.warehouse import Warehouse
+from bazaarlake.plans.warehouse import GOLD_TABLES, Warehouse
+from bazaarlake.sources.csv_files import SOURCES
 from bazaarlake.sources.schemas import SILVER
 from bazaarlake.testbed.compare import comparable
 from bazaarlake.testbed.fixture import PARAMS, raw_tables
+from bazaarlake.testbed.landing import landed_audit, landed_rejects, landed_source
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def test_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+def derived_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(spark, raw_tables(spark, sf_dir), PARAMS)
 
 
 def _over_warehouse(build: Callable[[Warehouse], DataFrame]) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(build(test_warehouse(spark, sf_dir)))
+        return comparable(build(derived_warehouse(spark, sf_dir)))
 
     return query
 
 
-_GOLD = (
-    "dim_customers dim_products dim_sellers fact_order_items fact_payments fact_reviews"
-    " fact_orders"
-).split()
-
 _WAREHOUSE_QUERIES: dict[str, Callable[[Warehouse], DataFrame]] = {
     **{f"silver_{name}": (lambda wh, name=name: wh.silver(name)) for name in SILVER},
-    **{f"gold_{name}": (lambda wh, name=name: wh.gold(name)) for name in _GOLD},
+    **{
+        f"gold_{name}": (lambda wh, name=name: wh.gold(name))
+        for name in GOLD_TABLES
+        if name != "dim_date"
+    },
     "gold_dim_date": lambda wh: calendar_covering(wh.silver("orders")),
-    "order_item_summary": lambda wh: facts.order_item_summary(wh.silver("order_items")),
-    "order_payment_summary": lambda wh: facts.order_payment_summary(
+    "order_item_summary": lambda wh: rollups.order_item_summary(wh.silver("order_items")),
+    "order_payment_summary": lambda wh: rollups.order_payment_summary(
         wh.silver("order_payments")
     ),
-    "order_review_summary": lambda wh: facts.order_review_summary(
+    "order_review_summary": lambda wh: rollups.order_review_summary(
         wh.silver("order_reviews")
     ),
-    "check_fact_orders_grain": lambda wh: grain_check(
-        wh.fact_orders(), ["order_id"], "rows_in_view", "distinct_orders"
-    ),
+    "check_fact_orders_grain": quality.fact_orders_grain,
+    "check_grains": quality.grain_report,
+    "dq_missing_category": quality.missing_category,
+    "dq_untranslated_categories": quality.untranslated_category_names,
+    "dq_missing_geolocation": quality.missing_geolocation,
+    "dq_delivered_without_date": quality.delivered_without_date,
+    "dq_undefined_payments": quality.undefined_payments,
+    "dq_zero_weight": quality.zero_weight,
+    "dq_duplicate_geolocation": quality.duplicate_geolocation,
+    "quality_report": quality.quality_report,
     **QUESTIONS,
 }
 
+
+def _landed(name: str) -> Query:
+    return lambda spark, sf_dir: comparable(landed_source(spark, sf_dir, name))
+
+
 REGISTRY: dict[str, Query] = {
-    name: _over_warehouse(build) for name, build in _WAREHOUSE_QUERIES.items()
+    **{f"bronze_{name}": _landed(name) for name in SOURCES},
+    "bronze_rejects": landed_rejects,
+    "load_audit": landed_audit,
+    **{name: _over_warehouse(build) for name, build in _WAREHOUSE_QUERIES.items()},
 }
 
 

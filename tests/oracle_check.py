@@ -76,7 +76,7 @@ def main() -> int:
     spark = build_session(
         "oracle-check",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
