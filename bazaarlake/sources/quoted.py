@@ -60,7 +60,7 @@ def quoted_records(
         )
         .withColumn("_start", F.coalesce(F.sum("_quotes").over(earlier), F.lit(0)) % 2)
         .withColumn("_base", F.coalesce(F.sum(begun).over(earlier), F.lit(0)))
-        .select(*_BLOCK, "_start", "_base")
+        .select(*_BLOCK, "_start", "_base", (begun == 0).alias("_runaway"))
     )
 
     numbered = lines.join(blocks, _BLOCK).select(
@@ -69,6 +69,7 @@ def quoted_records(
         "_pos",
         "value",
         "_odd",
+        "_runaway",
         (F.col("_open") == F.col("_start")).alias("_starts"),
         (
             F.col("_base")
@@ -81,8 +82,10 @@ def quoted_records(
     body = numbered.filter(F.col("_record") > (1 if header else 0))
 
     # A line that begins a record with balanced quotes is the whole record. Only the
-    # others are brought together, a handful of lines per record.
-    whole = F.col("_starts") & (F.col("_odd") == 0)
+    # others are brought together, a handful of lines per record. A block in which no
+    # record begins comes from a quote that is never closed: its lines go on one by one,
+    # to be read or rejected, so that no record outgrows two blocks.
+    whole = (F.col("_starts") & (F.col("_odd") == 0)) | F.col("_runaway")
     not_empty = F.col("value") != ""
     pieces = F.array_sort(F.collect_list(F.struct("_block", "_pos", "value")))
     joined = (
