@@ -14,10 +14,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 _BLOCK = ["_file", "_block"]
+MAX_RECORD = 64 << 20  # characters
 
 
 def quoted_records(
-    spark: SparkSession, path: str, line_end: str, header: bool = True
+    spark: SparkSession,
+    path: str,
+    line_end: str,
+    header: bool = True,
+    max_record: int = MAX_RECORD,
 ) -> DataFrame:
     """One row per CSV record, column ``record``, without the header of each file."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
@@ -60,7 +65,7 @@ def quoted_records(
         )
         .withColumn("_start", F.coalesce(F.sum("_quotes").over(earlier), F.lit(0)) % 2)
         .withColumn("_base", F.coalesce(F.sum(begun).over(earlier), F.lit(0)))
-        .select(*_BLOCK, "_start", "_base", (begun == 0).alias("_runaway"))
+        .select(*_BLOCK, "_start", "_base")
     )
 
     numbered = lines.join(blocks, _BLOCK).select(
@@ -69,7 +74,6 @@ def quoted_records(
         "_pos",
         "value",
         "_odd",
-        "_runaway",
         (F.col("_open") == F.col("_start")).alias("_starts"),
         (
             F.col("_base")
@@ -82,17 +86,30 @@ def quoted_records(
     body = numbered.filter(F.col("_record") > (1 if header else 0))
 
     # A line that begins a record with balanced quotes is the whole record. Only the
-    # others are brought together, a handful of lines per record. A block in which no
-    # record begins comes from a quote that is never closed: its lines go on one by one,
-    # to be read or rejected, so that no record outgrows two blocks.
-    whole = (F.col("_starts") & (F.col("_odd") == 0)) | F.col("_runaway")
-    not_empty = F.col("value") != ""
+    # others are brought together, a handful of lines per record.
+    whole = F.col("_starts") & (F.col("_odd") == 0)
+    parts = body.filter(~whole)
+
+    # A record larger than any text comes from a quote that is never closed. Its lines
+    # go on one by one, to be read or rejected, so that no group outgrows the limit.
+    record = ["_file", "_record"]
+    unclosed = (
+        parts.groupBy(*record)
+        .agg(F.sum(F.length("value")).alias("_length"))
+        .filter(F.col("_length") > max_record)
+        .select(*record, F.lit(True).alias("_unclosed"))
+    )
+    # Bounded: at most one row per max_record characters of input.
+    parts = parts.join(F.broadcast(unclosed), record, "left")
+    loose = parts.filter(F.col("_unclosed"))
+
     pieces = F.array_sort(F.collect_list(F.struct("_block", "_pos", "value")))
+    text = F.array_join(F.transform(pieces, lambda p: p["value"]), line_end)
     joined = (
-        body.filter(~whole)
-        .groupBy("_file", "_record")
-        .agg(F.array_join(F.transform(pieces, lambda p: p["value"]), line_end).alias("record"))
-    )
-    return body.filter(whole & not_empty).select(F.col("value").alias("record")).union(
-        joined.select("record")
+        parts.filter(F.col("_unclosed").isNull()).groupBy(*record).agg(text.alias("record"))
     )
+    alone = [
+        lines.filter(F.col("value") != "").select(F.col("value").alias("record"))
+        for lines in (body.filter(whole), loose)
+    ]
+    return alone[0].union(alone[1]).union(joined.select("record"))

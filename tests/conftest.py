@@ -25,6 +25,7 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
+            "spark.sql.maxMetadataStringLength": "5000",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
@@ -40,12 +41,15 @@ def conf(spark):
     def set_(**settings):
         for key, value in settings.items():
             name = "spark.sql." + key.replace("__", ".")
-            before.setdefault(name, spark.conf.get(name))
+            before.setdefault(name, spark.conf.get(name, None))
             spark.conf.set(name, value)
 
     yield set_
     for name, value in before.items():
-        spark.conf.set(name, value)
+        if value is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, value)
 
 
 @pytest.fixture(scope="session")
