@@ -15,14 +15,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
-_UNITS = {"k": 10, "kb": 10, "m": 20, "mb": 20, "g": 30, "gb": 30, "b": 0, "": 0}
-
+from bazaarlake.session import setting_bytes
 
-def parse_bytes(setting: str) -> int:
-    digits = setting.strip().lower()
-    number = digits.rstrip("kmgb")
-    return int(number) << _UNITS[digits[len(number):]] if int(number) > 0 else -1
+SALTS = 16
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -41,7 +36,7 @@ def estimated_bytes(df: DataFrame) -> int:
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    return parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    return setting_bytes(df.sparkSession, "spark.sql.autoBroadcastJoinThreshold")
 
 
 def lookup_join(

@@ -29,26 +29,48 @@ def build_session(
     return builder.getOrCreate()
 
 
+_UNITS = {"": 0, "b": 0, "k": 10, "kb": 10, "m": 20, "mb": 20, "g": 30, "gb": 30}
+
+
+def setting_bytes(spark: SparkSession, key: str) -> int:
+    """A size setting such as ``128MB`` in bytes; -1 where it is switched off."""
+    setting = spark.conf.get(key).strip().lower()
+    number = setting.rstrip("kmgb")
+    size = int(number) << _UNITS[setting[len(number) :]]
+    return max(size, -1)
+
+
 @cache
 def _local_scratch(application_id: str) -> str:
     return tempfile.mkdtemp(prefix=f"bazaarlake-{application_id}-")
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path for an intermediate table, in the folder the cluster names.
+def scratch_root(spark: SparkSession) -> str:
+    """Folder of this application's intermediate tables, below the one the cluster names.
 
     Only a ``local[*]`` session, where driver and executors are one process, may
     fall back to a temporary folder of this machine.
     """
+    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        context = spark.sparkContext
-        if not context.master.startswith("local"):
-            raise RuntimeError(
-                "spark.checkpoint.dir is not set: name a folder all executors share"
-            )
-        root = _local_scratch(context.applicationId)
-    return f"{root}/bazaarlake/{label}-{uuid.uuid4().hex}"
+    if root:
+        return f"{root}/bazaarlake/{context.applicationId}"
+    if not context.master.startswith("local"):
+        raise RuntimeError(
+            "spark.checkpoint.dir is not set: name a folder all executors share"
+        )
+    return _local_scratch(context.applicationId)
+
+
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh path for an intermediate table."""
+    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables, once no result reads them any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Raw CSV sources: one declared format per file, bad lines set aside.
 
 Eight sources are plain line files and split freely. Review text holds commas, quotes
-and line breaks inside quotes; ``quoted`` reads such a file in parallel as well.
+and line breaks inside quotes, so that Spark's reader takes one task per file. That
+costs nothing up to the size of one split; larger files are cut into records in
+parallel by ``quoted`` first.
 """
 
 from __future__ import annotations
@@ -12,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from bazaarlake.session import setting_bytes
 from bazaarlake.sources.quoted import quoted_records
 from bazaarlake.sources.schemas import BRONZE
 
@@ -79,15 +82,25 @@ def read_raw(
     and splits on every comma, as a loader without quote support does.
     """
     options = _options(source, raw_quotes)
-    if source.line_breaks_in_text:
-        parsed = F.from_csv(F.col("record"), source.landing_schema.toDDL(), options)
-        return (
-            quoted_records(spark, path, source.line_end, header)
-            .select(parsed.alias("row"))
-            .select("row.*")
-        )
-    reader = spark.read.schema(source.landing_schema).options(**options)
-    return reader.option("header", header).csv(path)
+    reader = spark.read.schema(source.landing_schema).options(header=header, **options)
+    if not source.line_breaks_in_text:
+        return reader.csv(path)
+    reader = reader.option("multiLine", "true")
+
+    # Names and lengths only; the driver lists the files of a scan in any case.
+    split = setting_bytes(spark, "spark.sql.files.maxPartitionBytes")
+    files = spark.read.format("binaryFile").load(path).select("path", "length").collect()
+    small = [f["path"] for f in files if f["length"] <= split]
+    large = [f["path"] for f in files if f["length"] > split]
+    if not large:
+        return reader.csv(path)
+    parsed = F.from_csv(F.col("record"), source.landing_schema.toDDL(), options)
+    rows = (
+        quoted_records(spark, large, source.line_end, header)
+        .select(parsed.alias("row"))
+        .select("row.*")
+    )
+    return rows.union(reader.csv(small)) if small else rows
 
 
 def accepted(landed: DataFrame) -> DataFrame:

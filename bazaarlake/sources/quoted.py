@@ -19,7 +19,7 @@ MAX_RECORD = 64 << 20  # characters
 
 def quoted_records(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     line_end: str,
     header: bool = True,
     max_record: int = MAX_RECORD,
@@ -101,15 +101,13 @@ def quoted_records(
     )
     # Bounded: at most one row per max_record characters of input.
     parts = parts.join(F.broadcast(unclosed), record, "left")
-    loose = parts.filter(F.col("_unclosed"))
-
+    alone = F.when(F.col("_unclosed"), F.struct("_block", "_pos"))
     pieces = F.array_sort(F.collect_list(F.struct("_block", "_pos", "value")))
     text = F.array_join(F.transform(pieces, lambda p: p["value"]), line_end)
-    joined = (
-        parts.filter(F.col("_unclosed").isNull()).groupBy(*record).agg(text.alias("record"))
+    joined = parts.groupBy(*record, alone.alias("_alone")).agg(text.alias("record"))
+    return (
+        body.filter(whole)
+        .select(F.col("value").alias("record"))
+        .union(joined.select("record"))
+        .filter(F.col("record") != "")
     )
-    alone = [
-        lines.filter(F.col("value") != "").select(F.col("value").alias("record"))
-        for lines in (body.filter(whole), loose)
-    ]
-    return alone[0].union(alone[1]).union(joined.select("record"))

@@ -13,7 +13,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlake.config import ReportParams
-from bazaarlake.operators.lookup import estimated_bytes, parse_bytes
+from bazaarlake.operators.lookup import estimated_bytes
+from bazaarlake.session import setting_bytes
 from bazaarlake.sources.schemas import BRONZE, conform, declared
 
 # Windows and thresholds that select something, but not everything, of this data.
@@ -240,7 +241,7 @@ def _star_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """
     schema = _STAR_SCHEMAS[table]
     df = spark.read.schema(schema).parquet(f"{sf_dir}/{table}.parquet")
-    split = parse_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    split = setting_bytes(spark, "spark.sql.files.maxPartitionBytes")
     if _SPREAD_FROM < estimated_bytes(df) < split:
         df = df.repartition(spark.sparkContext.defaultParallelism, schema.names[0])
     return df

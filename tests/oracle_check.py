@@ -49,6 +49,15 @@ def connect(sf_dir: str):
     return con
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def difference(spark_df, con, sql: str) -> str | None:
     """None when both sides hold the same rows, else a short account."""
     names = spark_df.columns
@@ -58,6 +67,10 @@ def difference(spark_df, con, sql: str) -> str | None:
     sql_rows = cursor.fetchall()
     if sorted(names) != sorted(sql_names):
         return f"columns {sorted(names)} vs {sorted(sql_names)}"
+    ours = {name: TYPES[kind] for name, kind in spark_df.dtypes}
+    theirs = {d[0]: str(d[1]) for d in cursor.description}
+    if ours != theirs:
+        return f"types {[(n, ours[n], theirs[n]) for n in ours if ours[n] != theirs[n]]}"
     if len(rows) != len(sql_rows):
         return f"rows {len(rows)} vs {len(sql_rows)}"
     ours, theirs = multiset(rows, names), multiset(sql_rows, sql_names)

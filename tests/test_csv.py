@@ -71,14 +71,28 @@ def review(n, message):
     return f'"r{n}","o{n}",{n % 5 + 1},"",{quoted},2018-01-01 00:00:00,2018-01-02 00:00:00'
 
 
-def test_review_text_with_comma_quote_and_line_breaks(spark, tmp_path):
+def test_review_text_with_comma_quote_and_line_breaks(spark, conf, tmp_path):
     messages = ["plain", 'said "ok", fine', "two\r\nlines", "a\nb", '"\r\n"\r\n,', "x\r\n\r\ny", None]
     body = "\r\n".join([REVIEW_HEADER, *(review(n, m) for n, m in enumerate(messages))])
     path = write(tmp_path / "r.csv", body + "\r\n")
-    rows = accepted(read_raw(spark, SOURCES["order_reviews"], path)).collect()
-    got = {r["review_id"]: r["review_comment_message"] for r in rows}
-    assert got == {f"r{n}": m for n, m in enumerate(messages)}
-    assert {r["review_comment_title"] for r in rows} == {None}
+    for split in ("128m", "64"):  # one task per file, and cut into blocks
+        conf(files__maxPartitionBytes=split)
+        rows = accepted(read_raw(spark, SOURCES["order_reviews"], path)).collect()
+        got = {r["review_id"]: r["review_comment_message"] for r in rows}
+        assert got == {f"r{n}": m for n, m in enumerate(messages)}
+        assert {r["review_comment_title"] for r in rows} == {None}
+
+
+def test_small_and_large_review_files_together(spark, conf, tmp_path):
+    folder = tmp_path / "reviews"
+    folder.mkdir()
+    for k, size in enumerate((1, 200)):
+        lines = [review(n, f"{k}\r\n{n}") for n in range(size)]
+        write(folder / f"{k}.csv", "\r\n".join([REVIEW_HEADER, *lines]) + "\r\n")
+    conf(files__maxPartitionBytes="1024")
+    rows = accepted(read_raw(spark, SOURCES["order_reviews"], str(folder))).collect()
+    assert len(rows) == 201
+    assert sorted(r["review_comment_message"].split("\r\n")[0] for r in rows) == ["0"] + ["1"] * 200
 
 
 @pytest.mark.parametrize("block", [64, 257, 4096])

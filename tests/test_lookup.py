@@ -3,12 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from bazaarlake.operators.lookup import (
-    broadcast_limit,
-    lookup_join,
-    lookup_with_fallback,
-    parse_bytes,
-)
+from bazaarlake.operators.lookup import lookup_join, lookup_with_fallback
 
 
 @pytest.fixture
@@ -61,10 +56,3 @@ def test_fallback_chain(spark):
         df, names, F.col("k"), "key", "name", "out", [F.col("k"), F.lit("none")]
     )
     assert sorted(r["out"] for r in got.collect()) == ["A", "b", "none"]
-
-
-def test_sizes(spark, rows):
-    assert parse_bytes("10485760b") == 10485760
-    assert parse_bytes("10MB") == 10485760
-    assert parse_bytes("-1") == -1
-    assert broadcast_limit(rows) > 0
