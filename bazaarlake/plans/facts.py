@@ -31,7 +31,8 @@ def is_delivered() -> Column:
 
 def not_voided() -> Column:
     """Status is not one that voids the sale; an unknown status does not void it."""
-    return F.coalesce(~F.col("order_status").isin(*fv.NOT_A_SALE), F.lit(True))
+    status = F.col("order_status")
+    return status.isNull() | ~status.isin(*fv.NOT_A_SALE)
 
 
 def is_late() -> Column:
