@@ -130,11 +130,9 @@ def fact_order_items(
     header = _order_header(
         orders, customer_keys, calendar, "order_status", PURCHASED, DELIVERED_AT, PROMISED_AT
     )
-    line = ["order_id", "order_item_id", "seller_id", "shipping_limit_date", "price"]
-    keyed = lookup_join(items, product_keys, "product_id", "left", spread=line)
-    keyed = lookup_join(
-        keyed, seller_keys, "seller_id", "left", spread=["product_id", *line[:2], *line[3:]]
-    )
+    line = ["order_id", "order_item_id", "price"]
+    keyed = lookup_join(items, product_keys, "product_id", "left", line)
+    keyed = lookup_join(keyed, seller_keys, "seller_id", "left", line)
     return keyed.join(header, "order_id").select(
         "order_id",
         "order_item_id",

@@ -12,6 +12,10 @@ from bazaarlake.operators.lookup import lookup_join
 from bazaarlake.plans.warehouse import Warehouse
 
 
+# What tells the items of one product or seller apart, where a lookup has to spread them.
+LINE_ID = ("order_id", "order_item_id")
+
+
 def until_month(orders: DataFrame, last: date) -> DataFrame:
     """Orders bought in ``last`` or an earlier month.
 
@@ -37,4 +41,6 @@ def kept_orders(wh: Warehouse) -> DataFrame:
 
 
 def items_with_category(wh: Warehouse) -> DataFrame:
-    return lookup_join(wh.silver("order_items"), wh.product_categories(), "product_id", "inner")
+    return lookup_join(
+        wh.silver("order_items"), wh.product_categories(), "product_id", "inner", LINE_ID
+    )

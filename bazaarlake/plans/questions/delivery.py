@@ -10,7 +10,7 @@ from bazaarlake.functions import band, days_between, mean_of, pct, pct_where, ra
 from bazaarlake.operators.lookup import lookup_join
 from bazaarlake.operators.shares import pct_of_total
 from bazaarlake.plans.facts import DELIVERED_AT, PROMISED_AT, PURCHASED
-from bazaarlake.plans.questions.common import delivered_orders, in_months
+from bazaarlake.plans.questions.common import LINE_ID, delivered_orders, in_months
 from bazaarlake.plans.warehouse import Warehouse
 
 
@@ -120,7 +120,7 @@ def route_type(wh: Warehouse) -> DataFrame:
         .join(wh.silver("customers").select("customer_id", "customer_state"), "customer_id")
     )
     sellers = wh.silver("sellers").select("seller_id", "seller_state")
-    items = lookup_join(wh.silver("order_items"), sellers, "seller_id", "inner")
+    items = lookup_join(wh.silver("order_items"), sellers, "seller_id", "inner", LINE_ID)
     same_state = F.col("customer_state") == F.col("seller_state")
     routes = (
         items.join(deliveries, "order_id")

@@ -54,7 +54,12 @@ def test_written_star_equals_derived_star(spark, loaded, sf_small, name):
     assert plain(written) == plain(derived_warehouse(spark, sf_small).gold(name))
 
 
-@pytest.mark.parametrize("name", sorted(QUESTIONS))
+@pytest.mark.parametrize(
+    "name",
+    ["q01_monthly_sales_growth", "q04a_weekday_profile", "q07_category_scorecard",
+     "q12_review_by_delay", "q15_route_type", "q18_seller_scorecard", "q23_rfm_segments",
+     "q24_cohort_retention", "q27_multi_seller", "q28_review_distribution"],
+)
 def test_reports_over_written_star(spark, loaded, sf_small, name):
     config, _ = loaded
     over_star = QUESTIONS[name](Warehouse.from_tables(spark, config, gold=GOLD_TABLES))

@@ -31,6 +31,18 @@ def test_row_number_equals_the_window(spark, n, direction):
     )
 
 
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_row_number_over_several_ranges(spark, conf, adaptive):
+    conf(adaptive__enabled=adaptive, adaptive__coalescePartitions__minPartitionSize="1b")
+    ranked = global_row_number(numbers(spark, 5000), "rn", ["v", "k"])
+    window = F.row_number().over(Window.orderBy("v", "k"))
+    expected = numbers(spark, 5000).withColumn("rn", window)
+    assert len(ranked.inputFiles()) > 1
+    assert sorted(ranked.select("k", "rn").collect()) == sorted(
+        expected.select("k", "rn").collect()
+    )
+
+
 @pytest.mark.parametrize("n,tiles", [(0, 5), (3, 5), (5, 5), (1000, 7), (1001, 10)])
 @pytest.mark.parametrize("direction", ["asc", "desc"])
 def test_ntile_equals_the_window(spark, n, tiles, direction):
