@@ -224,3 +224,25 @@ def test_quality_rules_on_empty_tables(tiny):
     for check in RULES:
         assert all(r["failing_rows"] == 0 for r in check(wh).collect()), check.__name__
     assert quality_report(wh).count() == 8
+
+
+def test_recency_can_be_turned(tiny):
+    def segments(recency_desc):
+        wh = tiny(
+            replace(ReportParams(), recency_desc=recency_desc),
+            orders=[order(n, bought=f"2018-01-{n:02d} 10:00:00") for n in range(1, 11)],
+            order_items=[item(n, price=f"{n}.00") for n in range(1, 11)],
+            customers=[customer(n) for n in range(1, 11)],
+        )
+        return {
+            r["segment"]: (r["customers"], int(r["revenue"]))
+            for r in report(wh, "q23_rfm_segments")
+        }
+
+    # As published the latest buyers hold the low scores, turned the high ones.
+    assert segments(False) == {"One-Time - Lapsed": (4, 34), "One-Time - Recent": (6, 21)}
+    assert segments(True) == {
+        "One-Time - Lapsed": (4, 10),
+        "High-Value New": (2, 19),
+        "One-Time - Recent": (4, 26),
+    }
