@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlake.llm.bpe_trie import encode_and_decode
 from bazaarlake.llm.common import table
+from bazaarlake.llm import secret_scan
 from bazaarlake.llm.packing import pack
 
 WORD_BPE = "word_bpe_49k.json"
@@ -19,6 +20,11 @@ def op4_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(table(spark, sf_dir, "documents"), path, ["doc_id"], digest=True)
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = secret_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"])
+    return secret_scan.digest(scanned, ["doc_id"])
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
     return pack(table(spark, sf_dir, "documents"), path, ["doc_id"], with_ids=False)
@@ -26,6 +32,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_trie": op4_bpe_trie,
+    "op7_secret_scan": op7_secret_scan,
     "op10_packing": op10_packing,
 }
 
