@@ -8,6 +8,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from bazaarlake.session import scratch_root
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -35,3 +37,11 @@ def text_slices(
 def texts_of(column: pa.Array) -> list[str]:
     """The column's texts, null as the empty text."""
     return [text or "" for text in column.to_pylist()]
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` in the cluster's checkpoint folder, its partitions and their order kept."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_root(df.sparkSession))
+    return df.checkpoint()

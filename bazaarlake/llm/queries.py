@@ -11,6 +11,7 @@ from bazaarlake.llm.bpe_trie import encode_and_decode
 from bazaarlake.llm.common import table
 from bazaarlake.llm import secret_scan
 from bazaarlake.llm.packing import pack
+from bazaarlake.llm.url_rules import judge_urls
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -20,6 +21,44 @@ def op4_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(table(spark, sf_dir, "documents"), path, ["doc_id"], digest=True)
 
 
+# The rules that pages are judged by.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(table(spark, sf_dir, "pages"), rules, ["page_id"])
+
+
+OP6_SQL = r"""
+WITH parts AS (
+    SELECT page_id,
+           translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path,
+           row_number() OVER () AS page
+    FROM pages),
+rules(rule_host, rule_path, rule_verdict) AS (
+    VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+           ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'),
+           ('net', '/fr/', 'block')),
+best AS (
+    SELECT page, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+           arg_max(rule_verdict, length(rule_host || rule_path)) AS verdict
+    FROM parts JOIN rules
+      ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY page)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN best USING (page)
+"""
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = secret_scan.scan(table(spark, sf_dir, "documents"), ["doc_id"])
     return secret_scan.digest(scanned, ["doc_id"])
@@ -32,8 +71,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_trie": op4_bpe_trie,
+    "op6_url_rules": op6_url_rules,
     "op7_secret_scan": op7_secret_scan,
     "op10_packing": op10_packing,
 }
 
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = {"op6_url_rules": OP6_SQL}
