@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from bazaarlake.llm.bpe_trie import encode_and_decode
 from bazaarlake.llm.common import table
 from bazaarlake.llm import secret_scan
+from bazaarlake.llm.html_text import extract
 from bazaarlake.llm.packing import pack
 from bazaarlake.llm.url_rules import judge_urls
 
@@ -64,6 +65,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(scanned, ["doc_id"])
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
     return pack(table(spark, sf_dir, "documents"), path, ["doc_id"], with_ids=False)
@@ -73,6 +78,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_trie": op4_bpe_trie,
     "op6_url_rules": op6_url_rules,
     "op7_secret_scan": op7_secret_scan,
+    "op9_html_text": op9_html_text,
     "op10_packing": op10_packing,
 }
 
