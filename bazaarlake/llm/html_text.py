@@ -165,25 +165,21 @@ def lines_of(page: str) -> list[Line]:
     return lines
 
 
-def text_ranges(weights: list[int], least: int, window: int = WINDOW) -> list[tuple[int, int]]:
-    """Ranges of lines from where the window sums surge to ``least`` to where they dive."""
-    total, before = [0], 0
-    for weight in weights:
-        before += weight
-        total.append(before)
+def text_ranges(weights: list[int], surge: int, window: int = WINDOW) -> list[tuple[int, int]]:
+    """Ranges of lines between the dives of the window sums to nothing, that hold a surge."""
     ranges: list[tuple[int, int]] = []
     for i, weight in enumerate(weights):
-        low = max(0, i - window + 1)
-        # The line's best window: of those that hold it, one must reach the sum.
-        best = max(
-            total[min(start + window, len(weights))] - total[start] for start in range(low, i + 1)
-        )
-        if weight and best >= least:
-            if ranges and i - ranges[-1][1] < window:
-                ranges[-1] = (ranges[-1][0], i + 1)
-            else:
-                ranges.append((i, i + 1))
-    return ranges
+        if not weight:
+            continue
+        if ranges and i - ranges[-1][1] < window:
+            ranges[-1] = (ranges[-1][0], i + 1)
+        else:
+            ranges.append((i, i + 1))
+    return [
+        (start, end)
+        for start, end in ranges
+        if max(sum(weights[i : i + window]) for i in range(start, end)) >= surge
+    ]
 
 
 def main_text(page: str) -> str:
