@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bazaarlake.llm.bpe_trie import encode_and_decode
 from bazaarlake.llm.common import table
 from bazaarlake.llm import secret_scan
 from bazaarlake.llm.html_text import extract
 from bazaarlake.llm.packing import pack
+from bazaarlake.llm.quality_cnn import classify, held_out, train
 from bazaarlake.llm.url_rules import judge_urls
 
 WORD_BPE = "word_bpe_49k.json"
@@ -22,6 +24,17 @@ def op4_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(table(spark, sf_dir, "documents"), path, ["doc_id"], digest=True)
 
 
+def op5_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    network = train(docs, table(spark, sf_dir, "labels"))
+    return classify(docs, network, ["doc_id"]).select(
+        "doc_id",
+        F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 # The rules that pages are judged by.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -76,6 +89,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_trie": op4_bpe_trie,
+    "op5_quality_cnn": op5_quality_cnn,
     "op6_url_rules": op6_url_rules,
     "op7_secret_scan": op7_secret_scan,
     "op9_html_text": op9_html_text,
