@@ -13,12 +13,63 @@ from bazaarlake.llm.common import table
 from bazaarlake.llm import secret_scan
 from bazaarlake.llm.html_text import extract
 from bazaarlake.llm.packing import pack
+from bazaarlake.llm.preferences import format_pairs, swapped_answers
 from bazaarlake.llm.quality_cnn import classify, held_out, train
 from bazaarlake.llm.url_rules import judge_urls
 
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_pairs(*swapped_answers(table(spark, sf_dir, "conversations")))
+
+
+OP1_SQL = r"""
+WITH last AS (
+    SELECT conv_id, max(turn) AS last_turn FROM conversations
+    WHERE role = 'assistant' GROUP BY conv_id),
+answer AS (
+    SELECT conv_id, last_turn, max(coalesce(text, '')) AS answer
+    FROM conversations JOIN last USING (conv_id)
+    WHERE turn = last_turn AND role = 'assistant' GROUP BY ALL),
+swap AS (
+    SELECT a.conv_id, a.last_turn, b.answer AS other
+    FROM answer a JOIN answer b ON b.conv_id = xor(a.conv_id, 1)),
+sides AS (
+    SELECT conv_id AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS chosen,
+           CASE WHEN turn = last_turn AND role = 'assistant' THEN other
+                ELSE coalesce(text, '') END AS rejected
+    FROM conversations JOIN swap USING (conv_id) WHERE turn IS NOT NULL),
+cut AS (
+    SELECT pair_id, coalesce(min(turn) FILTER (chosen <> rejected), max(turn) + 1) AS differs
+    FROM sides GROUP BY pair_id),
+marked AS (
+    SELECT pair_id, turn, role, turn < differs AS shared,
+           '<|' || role || '|>' || chr(10) AS mark, chosen || chr(10) AS said,
+           rejected || chr(10) AS refused
+    FROM sides JOIN cut USING (pair_id)),
+placed AS (
+    SELECT *, sum(length(mark) + length(said)) OVER w AS chosen_end,
+           sum(length(mark) + length(refused)) OVER w AS rejected_end
+    FROM marked
+    WINDOW w AS (PARTITION BY pair_id, shared ORDER BY turn))
+SELECT pair_id,
+       coalesce(string_agg(mark || said, '' ORDER BY turn) FILTER (shared), '') AS prompt,
+       count(*) FILTER (shared) AS prompt_turns,
+       coalesce(string_agg(mark || said, '' ORDER BY turn) FILTER (NOT shared), '') AS chosen,
+       coalesce(string_agg((chosen_end - length(said))::BIGINT || ':' || chosen_end::BIGINT, ','
+                           ORDER BY turn) FILTER (NOT shared AND role = 'assistant'), '')
+           AS chosen_spans,
+       count(*) FILTER (NOT shared) AS chosen_turns,
+       coalesce(string_agg(mark || refused, '' ORDER BY turn) FILTER (NOT shared), '') AS rejected,
+       coalesce(string_agg((rejected_end - length(refused))::BIGINT || ':' || rejected_end::BIGINT,
+                           ',' ORDER BY turn) FILTER (NOT shared AND role = 'assistant'), '')
+           AS rejected_spans,
+       count(*) FILTER (NOT shared) AS rejected_turns
+FROM placed GROUP BY pair_id
+"""
+
+
 def op4_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
     return encode_and_decode(table(spark, sf_dir, "documents"), path, ["doc_id"], digest=True)
@@ -88,6 +139,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_preferences": op1_preferences,
     "op4_bpe_trie": op4_bpe_trie,
     "op5_quality_cnn": op5_quality_cnn,
     "op6_url_rules": op6_url_rules,
@@ -96,4 +148,4 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
 }
 
-LLM_ORACLE: dict[str, str] = {"op6_url_rules": OP6_SQL}
+LLM_ORACLE: dict[str, str] = {"op1_preferences": OP1_SQL, "op6_url_rules": OP6_SQL}
