@@ -14,6 +14,7 @@ from bazaarlake.llm import secret_scan
 from bazaarlake.llm.html_text import extract
 from bazaarlake.llm.packing import pack
 from bazaarlake.llm.preferences import format_pairs, swapped_answers
+from bazaarlake.llm.projection_dedup import near_duplicates
 from bazaarlake.llm.quality_cnn import classify, held_out, train
 from bazaarlake.llm.url_rules import judge_urls
 
@@ -70,6 +71,10 @@ FROM placed GROUP BY pair_id
 """
 
 
+def op2_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 def op4_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
     return encode_and_decode(table(spark, sf_dir, "documents"), path, ["doc_id"], digest=True)
@@ -140,6 +145,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_preferences": op1_preferences,
+    "op2_projection_dedup": op2_projection_dedup,
     "op4_bpe_trie": op4_bpe_trie,
     "op5_quality_cnn": op5_quality_cnn,
     "op6_url_rules": op6_url_rules,
