@@ -13,6 +13,7 @@ from bazaarlake.llm.common import table
 from bazaarlake.llm import secret_scan
 from bazaarlake.llm.html_text import extract
 from bazaarlake.llm.packing import pack
+from bazaarlake.llm.pivot_topk import top_k
 from bazaarlake.llm.preferences import format_pairs, swapped_answers
 from bazaarlake.llm.projection_dedup import near_duplicates
 from bazaarlake.llm.quality_cnn import classify, held_out, train
@@ -134,6 +135,29 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(scanned, ["doc_id"])
 
 
+def op8_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    is_query = F.col("vec_id") % 100 == 0
+    return top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", is_query)
+
+
+OP8_SQL = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 100 = 0)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score
+FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 10
+"""
+
+
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
 
@@ -150,8 +174,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_cnn": op5_quality_cnn,
     "op6_url_rules": op6_url_rules,
     "op7_secret_scan": op7_secret_scan,
+    "op8_pivot_topk": op8_pivot_topk,
     "op9_html_text": op9_html_text,
     "op10_packing": op10_packing,
 }
 
-LLM_ORACLE: dict[str, str] = {"op1_preferences": OP1_SQL, "op6_url_rules": OP6_SQL}
+LLM_ORACLE: dict[str, str] = {"op1_preferences": OP1_SQL, "op6_url_rules": OP6_SQL, "op8_pivot_topk": OP8_SQL}
