@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarlake.llm import order_minhash, secret_scan
 from bazaarlake.llm.bpe_trie import encode_and_decode
 from bazaarlake.llm.common import table
-from bazaarlake.llm import secret_scan
 from bazaarlake.llm.html_text import extract
 from bazaarlake.llm.packing import pack
 from bazaarlake.llm.pivot_topk import top_k
@@ -76,6 +76,10 @@ def op2_projection_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(WORD_BPE)
     return encode_and_decode(table(spark, sf_dir, "documents"), path, ["doc_id"], digest=True)
@@ -170,6 +174,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_preferences": op1_preferences,
     "op2_projection_dedup": op2_projection_dedup,
+    "op3_order_minhash": op3_order_minhash,
     "op4_bpe_trie": op4_bpe_trie,
     "op5_quality_cnn": op5_quality_cnn,
     "op6_url_rules": op6_url_rules,

@@ -274,3 +274,21 @@ def mask(scanned: DataFrame, columns: list[str], placeholder: str = "[SECRET]")
         lambda text, v: F.replace(text, v["value"], F.lit(placeholder)),
     )
     return scanned.select(*columns, masked.alias("text"))
+
+
+def masked_documents(docs: DataFrame, owner_column: str = "source") -> DataFrame:
+    """``docs`` with live-looking secrets masked in ``text`` and ``n_chars`` counted anew.
+
+    Every row and every column stays, whatever the columns are named; a text without a
+    live secret is unchanged, a null one becomes empty.
+    """
+    others = [name for name in docs.columns if name != "text"]
+    short = [f"_k{i}" for i in range(len(others))]
+    named = docs.select(*[F.col(f"`{n}`").alias(s) for n, s in zip(others, short, strict=True)], "text")
+    owner = short[others.index(owner_column)]
+    masked = mask(scan(named, short, owner, owner, keep_text=True), short)
+    masked = masked.withColumn("text", F.coalesce("text", F.lit("")))
+    columns = {n: F.col(s) for n, s in zip(others, short, strict=True)} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length("text").cast("long")
+    return masked.select(*[columns[name].alias(name) for name in docs.columns])
