@@ -3,7 +3,7 @@
 The documents of a partition, in its order, are one stream of tokens. Windows are cut
 from it so that padding plus the penalties of cut documents are smallest: a cut costs
 nothing between documents, a little behind a sentence, and more between two words of a
-long sentence, where boundaries are offered every few tokens. With ``best[j]`` the least cost of all
+sentence, where boundaries are offered every few tokens. With ``best[j]`` the least cost of all
 windows up to boundary ``j``,
 
     best[j] = penalty[j] + min over i of best[i] + window - (position[j] - position[i])
@@ -18,6 +18,8 @@ from __future__ import annotations
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from functools import cache
+from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -32,11 +34,12 @@ WINDOW = 4096
 SENTENCE_CUT = 4.0
 WORD_CUT = 12.0
 INNER_CUT = 64.0  # inside a word
-# A sentence gets boundaries between words so many tokens apart.
+# Boundaries between words are offered so many tokens apart.
 WORD_CUT_EVERY = 24
 # Windows decided at a time; the last one stays open until more documents are read.
 SEGMENT_WINDOWS = 64
-REMEMBERED_CHUNKS = 600_000
+# Distinct chunks a Python worker remembers, over its tasks, before it forgets them all.
+REMEMBERED_CHUNKS = 1_000_000
 SENTENCE_ENDS = frozenset(".!?…。！？")
 
 
@@ -79,19 +82,28 @@ class ChunkIds:
         return known
 
 
+@cache
+def chunk_ids(path: str) -> ChunkIds:
+    """One for all tasks of a worker, so a chunk met again in another partition is known."""
+    return ChunkIds(path)
+
+
 def document(row: tuple, chunks: list, known: dict, end: bytes) -> Document:
     parts = [known[chunk] for chunk in chunks]
-    stops, at, stop = [], 0, 0
-    for chunk, part in zip(chunks, parts, strict=True):
-        at += len(part)
-        if chunk[-1] in SENTENCE_ENDS:
-            stops.append((at >> 2, SENTENCE_CUT))
-            stop = at
-        elif at - stop >= 4 * WORD_CUT_EVERY:
-            stops.append((at >> 2, WORD_CUT))
-            stop = at
+    reached = np.fromiter(accumulate(map(len, parts)), np.int64, len(parts)) >> 2
+    sentences = [n for n, chunk in enumerate(chunks) if chunk[-1] in SENTENCE_ENDS]
+    stops = dict.fromkeys(reached[_every(reached)].tolist(), WORD_CUT)
+    stops.update(dict.fromkeys(reached[np.array(sentences, np.int64)].tolist(), SENTENCE_CUT))
     parts.append(end)
-    return Document(row, b"".join(parts), stops)
+    return Document(row, b"".join(parts), sorted(stops.items()))
+
+
+def _every(reached: np.ndarray) -> np.ndarray:
+    """The first word end behind every WORD_CUT_EVERY tokens."""
+    if not len(reached):
+        return np.zeros(0, np.int64)
+    goals = np.arange(WORD_CUT_EVERY, reached[-1] + 1, WORD_CUT_EVERY)
+    return np.searchsorted(reached, goals)
 
 
 def boundaries(docs: list[Document], window: int) -> tuple[list[int], list[float]]:
@@ -212,7 +224,7 @@ def pack(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ChunkIds(tokenizer_path)
+        encoder = chunk_ids(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
         sequence = TaskContext.get().partitionId() << 32
         held: list[Document] = []
