@@ -1,0 +1,310 @@
+"""Tokenizer, packing, classifier, secrets and page text against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import html
+import random
+import re
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from bazaarlake.llm import secret_scan
+from bazaarlake.llm.bpe_trie import TextCodec, encode_and_decode
+from bazaarlake.llm.html_text import extract, main_text
+from bazaarlake.llm.packing import cheapest_cuts, pack, tail_cuts
+from bazaarlake.llm.quality_cnn import classify, fit, held_out, score_texts, train
+from bazaarlake.llm.queries import (
+    op4_bpe_trie,
+    op5_quality_cnn,
+    op7_secret_scan,
+    op9_html_text,
+    op10_packing,
+)
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+ODD_TEXTS = [
+    None,
+    "",
+    " \n\t ",
+    "it's THEY'LL 'Sx 's't",
+    "<|endoftext|>x <|ENDOFTEXT|> é<|startoftext|>́",
+    "a\u0085b\x1cc\x1fd e f　g",
+    "É é İ ǅ ΑΣ ß ½²Ⅷ１２ 123abc",
+    "日本語 テスト 😀👍🏽 \0 \x7f ​﻿A",
+    "a" * 3000,
+    "!?... " * 50,
+]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(WORD_BPE)
+
+
+@pytest.fixture
+def documents(spark):
+    """Texts as a table with repeated rows, and columns named like results."""
+    rows = [(i, text, "src0", "n", 1) for i, text in enumerate(ODD_TEXTS)] + [(3, ODD_TEXTS[3], "src0", "n", 1)]
+    schema = "doc_id long, text string, source string, ids_sha256 string, score int"
+    return spark.createDataFrame(rows, schema)
+
+
+def test_trie_encodes_as_the_library(tokenizer):
+    rng = random.Random(3)
+    letters = [chr(i) for i in [*range(32, 127), *range(0xA0, 0x250), *range(0x300, 0x320), 0x3A3, 0x1F600]]
+    texts = [t or "" for t in ODD_TEXTS] + ["".join(rng.choices(letters, k=50)) for _ in range(500)]
+    codec = TextCodec(WORD_BPE, remembered=300)
+    for text in texts:
+        chunks = codec.chunker.chunks(text)
+        known = codec.learn([chunks])
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        assert " ".join(known[c][1] for c in chunks) == " ".join(map(str, ids))
+        assert sum(known[c][0] for c in chunks) == len(ids)
+        decoded = tokenizer.decode(ids, skip_special_tokens=False)
+        assert " ".join(known[c][2] for c in chunks) == decoded
+
+
+def test_encode_table(spark, documents, tokenizer):
+    rows = encode_and_decode(documents, WORD_BPE, ["doc_id"]).collect()
+    assert len(rows) == len(ODD_TEXTS) + 1
+    for row in rows:
+        ids = tokenizer.encode(ODD_TEXTS[row.doc_id] or "", add_special_tokens=False).ids
+        assert row.ids == " ".join(map(str, ids)) and row.n_tokens == len(ids)
+    assert encode_and_decode(documents.limit(0), WORD_BPE, ["doc_id"]).count() == 0
+
+
+def test_op4_on_whole_table(spark, sf_small, tokenizer):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
+    rows = op4_bpe_trie(spark, sf_small).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        found = tokenizer.encode(texts[row.doc_id], add_special_tokens=False).ids
+        joined = " ".join(map(str, found))
+        decoded = tokenizer.decode(found, skip_special_tokens=False)
+        assert row.ids_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
+def check_packing(rows, texts, tokenizer):
+    pieces = defaultdict(list)
+    sequences = defaultdict(list)
+    for row in rows:
+        pieces[row.doc_id].append(row)
+        sequences[row.sequence_id].append(row)
+    for doc_id, text in texts.items():
+        ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        at = 0
+        for row in sorted(pieces[doc_id], key=lambda r: r.start):
+            part = np.array(ids[row.start : row.start + row.length], "<u4")
+            assert row.start == at and row.doc_tokens == len(ids)
+            assert row.ids_crc32 == zlib.crc32(part.tobytes())
+            at += row.length
+        assert at == len(ids)
+    padding = total = 0
+    for parts in sequences.values():
+        at = 0
+        for row in sorted(parts, key=lambda r: r.offset):
+            assert row.offset == at
+            at += row.length
+        assert at <= 4096
+        total += at
+        padding += 0 if at.bit_count() == 1 else 4096 - at
+        assert {row.padded_length for row in parts} == {at if at.bit_count() == 1 else 4096}
+    return padding / total
+
+
+def test_packing_odd_texts(documents, tokenizer):
+    rows = pack(documents.dropDuplicates(["doc_id"]), WORD_BPE, ["doc_id"]).collect()
+    assert check_packing(rows, dict(enumerate(ODD_TEXTS)), tokenizer) == 0
+    assert all(len(row.ids) == row.length for row in rows)
+    assert pack(documents, WORD_BPE, ["doc_id"]).agg(F.sum((F.col("start") == 0).cast("int"))).first()[0] == 11
+    assert pack(documents.limit(0), WORD_BPE, ["doc_id"]).count() == 0
+
+
+def test_op10_on_whole_table(spark, sf_small, tokenizer):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
+    assert check_packing(op10_packing(spark, sf_small).collect(), texts, tokenizer) < 0.01
+
+
+def test_cheapest_cuts_against_all_choices():
+    rng = random.Random(5)
+    for _ in range(200):
+        window = 8
+        positions, costs = [0], [0.0]
+        for _ in range(rng.randrange(1, 14)):
+            positions.append(positions[-1] + rng.randrange(1, window + 1))
+            costs.append(rng.choice([0.0, 1.0, 5.0]))
+        best = [0.0]
+        for j in range(1, len(positions)):
+            best.append(
+                min(
+                    best[i] + costs[j] + window - (positions[j] - positions[i])
+                    for i in range(j)
+                    if positions[j] - positions[i] <= window
+                )
+            )
+        cuts = cheapest_cuts(positions, costs, window, last=False)
+        ends = [j for j in range(len(positions)) if positions[j] > positions[-1] - window]
+        spent = sum(costs[positions.index(c)] + window - (c - b) for b, c in zip([0, *cuts], cuts, strict=False))
+        assert spent == pytest.approx(min(best[j] for j in ends))
+    assert tail_cuts(0, 5, 4096) == [4, 5] and tail_cuts(7, 4100, 4096) == [4100]
+
+
+def test_network_learns_and_scores_whole_texts():
+    rng = random.Random(1)
+
+    def text(bad):
+        words = ["".join(rng.choices("abcdefgh", k=rng.randrange(2, 9))) for _ in range(rng.randrange(20, 200))]
+        return (" | " if bad else " ").join(words).encode()
+
+    labels = [i % 2 for i in range(200)]
+    network = fit([[text(not label)[:512]] for label in labels], labels)
+    tests = [text(not label) for label in labels]
+    scores = score_texts(network, tests)
+    assert (np.round(scores) == labels).mean() > 0.97
+    # Scores do not depend on neighbours, and the end of a long text counts.
+    assert score_texts(network, tests[:1])[0] == pytest.approx(scores[0])
+    long = text(False) * 100
+    mixed = score_texts(network, [long, long + b" | x | y" * 4000, b""])
+    assert mixed[0] > mixed[1] and 0 <= mixed[2] <= 1
+    assert score_texts(network, []).shape == (0,)
+
+
+def test_training_keeps_held_out_rows_apart(spark, documents):
+    labels = spark.createDataFrame(
+        [(i, i % 2, 0) for i in range(10)] + [(None, 1, 0), (3, None, 0), (4, 7, 1)],
+        "doc_id long, quality int, toxic int",
+    )
+    network = train(documents, labels)
+    assert classify(documents, network, ["doc_id"]).count() == len(ODD_TEXTS) + 1
+    kept = classify(documents, network, documents.columns, keep=True)
+    assert kept.columns == documents.columns
+    assert classify(documents.limit(0), train(documents, labels.limit(0)), ["doc_id"]).count() == 0
+    remainders = spark.range(300).select("id", held_out(F.col("id")).alias("h")).collect()
+    assert all(r.h == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in remainders)
+
+
+def test_op5_held_out_accuracy(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = op5_quality_cnn(spark, sf_dir)
+    assert scored.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+    hits = scored.where("held_out").join(labels, "doc_id").groupBy("quality").agg(
+        F.avg((F.col("predicted") == F.col("quality")).cast("double")).alias("right")
+    )
+    assert {r.quality: r.right >= 0.9 for r in hits.collect()} == {0: True, 1: True}
+
+
+ASSIGN = re.compile(
+    r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+    re.IGNORECASE | re.ASCII,
+)
+
+
+def base_spans(text):
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(found)
+
+
+def spans_text(found):
+    return ",".join(f"{secret_scan.KINDS[kind]}:{start}:{end}" for start, kind, end in found)
+
+
+def test_secret_spans_against_brute_force(spark):
+    rng = random.Random(5)
+    parts = ["password", "PassWord", "token", "secret", "api_key", "apikey", "=", ":", " ", "'", '"', "abc",
+             "0123456789abcdef" * 2, "AKIA", "ABCDEFGH1234", "😀", "é", "\n", "-", "ſecret"]
+    texts = ["", None, "token=abcdefgh1 " * 1000]
+    texts += ["".join(rng.choices(parts, k=rng.randrange(1, 60))) for _ in range(200)]
+    rows = [(i, text, "a", "b", 0) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, owners string, n_hex int")
+    for row in secret_scan.digest(secret_scan.scan(docs, ["doc_id"]), ["doc_id"]).collect():
+        base = base_spans(texts[row.doc_id] or "")
+        joined = spans_text(base)
+        assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert [row.n_assign, row.n_access, row.n_hex] == [sum(k == n for _, k, _ in base) for n in range(3)]
+        assert not base or set(joined.split(",")) <= set(row.spans.split(","))
+    assert secret_scan.scan(docs.limit(0), ["doc_id"]).count() == 0
+
+
+def test_owners_tell_examples_from_live_secrets(spark):
+    shared, own, bare = "aB3" * 8, "cD4" * 8, "xY5-" * 6
+    rows = [(i, f"token = {shared} x", f"s{i}") for i in range(3)]
+    rows += [(3, f"token = {own}", "s0"), (4, f"see {bare} {own}", "s1"), (4, f"see {bare} {own}", "s1")]
+    rows += [(5, f"{shared} alone", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r.doc_id: r for r in secret_scan.digest(secret_scan.scan(docs, ["doc_id"]), ["doc_id"]).collect()}
+    assert [found[i].n_examples for i in range(3)] == [1, 1, 1]
+    assert found[3].n_live == 1
+    assert found[4].spans == "token:4:28,token:29:53"
+    assert found[5].spans == ""
+    masked = secret_scan.masked_documents(docs.withColumn("spans", F.lit(1)).withColumn("n_chars", F.lit(0)))
+    texts = {r.doc_id: r.text for r in masked.collect()}
+    assert masked.columns == ["doc_id", "text", "source", "spans", "n_chars"] and masked.count() == len(rows)
+    assert texts[0] == f"token = {shared} x" and texts[4] == "see [SECRET] [SECRET]"
+
+
+def test_op7_on_whole_table(spark, sf_small):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
+    rows = op7_secret_scan(spark, sf_small).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        joined = spans_text(base_spans(texts[row.doc_id]))
+        assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+
+
+PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style><script>var a="<p>x</p>";</script></head>
+<body class="has-sidebar"><header><h1>Site name</h1></header><nav><ul><li><a href="/">Home</a></li></ul></nav>
+<div class="cookie-notice">We use cookies to make this page better for everyone who reads it, accept.</div>
+%s
+<section id="comments"><p>A reader says at great length what the article made of this long day.</p></section>
+<form><label>Mail</label><input><button>Send it</button></form><footer>Copyright &copy; someone</footer></body></html>"""
+BODY = """<h2>A title &amp; more</h2><p>First <b>bold</b>
+ paragraph&nbsp;with <a href="/x">a link</a> and so many words that it is long.</p><p>Of.<div class="ad">Buy now, only
+ today, the best of all goods that can be bought anywhere.</div><p><b>Second paragraph &lt;here&gt;, going on for long
+ enough to be text.<br>New line<p>End.</p>"""
+TEXT = (
+    "A title & more\nFirst bold paragraph with a link and so many words that it is long.\nOf.\n"
+    "Second paragraph <here>, going on for long enough to be text. New line\nEnd."
+)
+
+
+@pytest.mark.parametrize("around", ["<article>%s</article>", '<div class="content">%s</div>', "<main>%s</main>"])
+def test_page_text(around):
+    assert main_text(PAGE % (around % BODY)) == TEXT
+
+
+@pytest.mark.parametrize(
+    "page", ["", " ", "<html></html>", "<script>x", "<!-- x", "<nav>a menu</nav>", "<p", "<a href='x"]
+)
+def test_pages_without_text(page):
+    assert main_text(page) == ""
+
+
+def test_extract_table(spark):
+    page = PAGE % f"<article>{BODY}</article>"
+    rows = [(1, "u", page, 5), (1, "u", page, 5), (2, None, None, 5), (3, "v", "<article>" + "<p>x &amp; y" * 20000, 5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int")
+    found = extract(pages, ["page_id", "url"]).orderBy("page_id").collect()
+    assert [(r.page_id, r.n_chars) for r in found] == [(1, len(TEXT)), (1, len(TEXT)), (2, 0), (3, 20000 * 6 - 1)]
+    assert extract(pages.limit(0), ["page_id"]).count() == 0
+
+
+def test_op9_on_whole_table(spark, sf_small):
+    rows = op9_html_text(spark, sf_small).collect()
+    pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_small}/pages.parquet").collect()}
+    assert len(rows) == len(pages)
+    for row in rows:
+        article = re.search(r"<article>(.*?)(?:</article>|\Z)", pages[row.page_id], re.S)[1]
+        blocks = [html.unescape(re.sub(r"<br>", " ", b)) for b in re.split(r"</?(?:p|h1)>", article)]
+        blocks = [" ".join(re.sub(r"</?b>", "", b).split()) for b in blocks]
+        assert row.text == "\n".join(b for b in blocks if b)
