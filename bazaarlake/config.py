@@ -51,7 +51,9 @@ class WarehouseConfig:
     warehouse_root: str
     files: dict[str, str] = field(default_factory=dict)
     raw_quotes: bool = False
+    # A file's load fails if it has more bad lines than both allow.
     max_errors: int = fv.MAX_LOAD_ERRORS
+    max_error_share: float = 0.0
     parallel_loads: int = 3
     params: ReportParams = ReportParams()
 

@@ -17,9 +17,16 @@ def period_over_period(
 
 
 def same_period_last_year(periods: DataFrame, period: str, measure: str) -> DataFrame:
-    """Pair each period with the one twelve months earlier; unpaired periods drop."""
-    previous = periods.select(
-        F.add_months(period, 12).alias(period),
-        F.col(measure).alias(f"{measure}_same_month_last_year"),
+    """Beside each month the value twelve months earlier; months without one drop.
+
+    ``periods`` has one row per month, so the window sees as many rows as there are months.
+    """
+    month = F.year(period) * 12 + F.month(period)
+    year_ago = Window.orderBy(month).rangeBetween(-12, -12)
+    previous = f"{measure}_same_month_last_year"
+    return (
+        periods.withColumn(previous, F.max(measure).over(year_ago))
+        .withColumn("_seen", F.count(F.lit(1)).over(year_ago))
+        .where("_seen > 0")
+        .drop("_seen")
     )
-    return periods.join(previous, period)

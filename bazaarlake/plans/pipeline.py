@@ -1,29 +1,34 @@
 """Full-refresh loads of the three layers, and their registration for SQL users.
 
-Every load replaces its table as a whole, counts rows and rejects on the way through
-and raises when something went wrong, after recording which table it was.
+Every load replaces its table as a whole, once the new rows are written and accepted,
+counts rows and rejects on the way through and raises when something went wrong, after
+recording which table it was. A failed load leaves the table as it was.
 """
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from bazaarlake.config import WarehouseConfig
 from bazaarlake.plans.silver import build_silver
 from bazaarlake.plans.warehouse import DIMENSIONS, FACTS, GOLD_TABLES, Warehouse
-from bazaarlake.sources.audit import TableLoad, run_loads, timed_load
-from bazaarlake.sources.csv_files import BAD_LINE, SOURCES, CsvSource, read_raw
+from bazaarlake.sources.audit import TableLoad, batch_total, run_loads, timed_load
+from bazaarlake.sources.csv_files import SOURCES, CsvSource, bad_lines, read_raw
 from bazaarlake.sources.schemas import SILVER
 from bazaarlake.sources.tables import read_table, replace_table
 
 _LOOKUP = "product_category_translation"
 
 
-class TooManyRejects(RuntimeError):
-    """A file holds more bad lines than the load tolerates."""
+def _batch(layer: str, load: Callable[[], list[TableLoad]]) -> list[TableLoad]:
+    """The loads of a layer and a row for all of them together."""
+    started = time.monotonic()
+    audit = load()
+    return [*audit, batch_total(layer, audit, time.monotonic() - started)]
 
 
 def _load_source(
@@ -31,29 +36,31 @@ def _load_source(
 ) -> TableLoad:
     path = config.table_path("bronze", source.name)
     landed = read_raw(spark, source, config.source_path(source.name), config.raw_quotes)
-    load = timed_load(
+
+    def tolerated(lines: int, rows: int) -> bool:
+        return lines <= config.max_errors or lines <= config.max_error_share * rows
+
+    return timed_load(
         "bronze",
         source.name,
         landed,
-        lambda df: replace_table(df, path),
-        F.col(BAD_LINE).isNotNull(),
+        lambda df, check: replace_table(df, path, check),
+        bad_lines(source),
+        tolerated,
     )
-    if load.rows_rejected > config.max_errors:
-        # As with a bulk load that fails, nothing of the file stays.
-        replace_table(spark.createDataFrame([], source.landing_schema), path)
-        raise TooManyRejects(
-            f"{load.rows_rejected} bad lines, {config.max_errors} are tolerated"
-        )
-    return load
 
 
 def load_bronze(spark: SparkSession, config: WarehouseConfig) -> list[TableLoad]:
-    """Read the nine files into raw tables. Bad lines stay there, apart from the rows."""
+    """Read the nine files into raw tables. Bad lines stay there, apart from the rows.
+
+    More bad lines than ``max_errors``, and than ``max_error_share`` of a file, fail its
+    load; its table then stays as the last good load left it.
+    """
     loads = {
         name: partial(_load_source, spark, config, source)
         for name, source in SOURCES.items()
     }
-    return run_loads(loads, "bronze", config.parallel_loads)
+    return _batch("bronze", lambda: run_loads(loads, "bronze", config.parallel_loads))
 
 
 def load_silver(spark: SparkSession, config: WarehouseConfig) -> list[TableLoad]:
@@ -66,11 +73,14 @@ def load_silver(spark: SparkSession, config: WarehouseConfig) -> list[TableLoad]
         if name == "products":
             lookup = read_table(spark, config.table_path("silver", _LOOKUP), SILVER[_LOOKUP])
         df = build_silver(name, raw, lookup)
-        return timed_load("silver", name, df, lambda out: replace_table(out, path))
+        return timed_load("silver", name, df, lambda out, check: replace_table(out, path, check))
 
-    first = run_loads({_LOOKUP: partial(load, _LOOKUP)}, "silver", 1)
-    others = {name: partial(load, name) for name in SILVER if name != _LOOKUP}
-    return first + run_loads(others, "silver", config.parallel_loads)
+    def load_all() -> list[TableLoad]:
+        first = run_loads({_LOOKUP: partial(load, _LOOKUP)}, "silver", 1)
+        others = {name: partial(load, name) for name in SILVER if name != _LOOKUP}
+        return first + run_loads(others, "silver", config.parallel_loads)
+
+    return _batch("silver", load_all)
 
 
 def _laid_out(name: str, df: DataFrame) -> DataFrame:
@@ -93,20 +103,23 @@ def load_gold(spark: SparkSession, config: WarehouseConfig) -> list[TableLoad]:
     def load(wh: Warehouse, name: str) -> TableLoad:
         path = config.table_path("gold", name)
         df = _laid_out(name, wh.gold(name))
-        return timed_load("gold", name, df, lambda out: replace_table(out, path))
+        return timed_load("gold", name, df, lambda out, check: replace_table(out, path, check))
+
+    def load_all() -> list[TableLoad]:
+        over_silver = Warehouse.from_tables(spark, config)
+        audit = run_loads(
+            {name: partial(load, over_silver, name) for name in DIMENSIONS},
+            "gold",
+            config.parallel_loads,
+        )
+        over_dims = Warehouse.from_tables(spark, config, gold=DIMENSIONS)
+        return audit + run_loads(
+            {name: partial(load, over_dims, name) for name in FACTS},
+            "gold",
+            config.parallel_loads,
+        )
 
-    over_silver = Warehouse.from_tables(spark, config)
-    audit = run_loads(
-        {name: partial(load, over_silver, name) for name in DIMENSIONS},
-        "gold",
-        config.parallel_loads,
-    )
-    over_dims = Warehouse.from_tables(spark, config, gold=DIMENSIONS)
-    return audit + run_loads(
-        {name: partial(load, over_dims, name) for name in FACTS},
-        "gold",
-        config.parallel_loads,
-    )
+    return _batch("gold", load_all)
 
 
 def register_tables(spark: SparkSession, config: WarehouseConfig) -> None:

@@ -29,15 +29,12 @@ def build_session(
     return builder.getOrCreate()
 
 
-_UNITS = {"": 0, "b": 0, "k": 10, "kb": 10, "m": 20, "mb": 20, "g": 30, "gb": 30}
-
-
 def setting_bytes(spark: SparkSession, key: str) -> int:
-    """A size setting such as ``128MB`` in bytes; -1 where it is switched off."""
-    setting = spark.conf.get(key).strip().lower()
-    number = setting.rstrip("kmgb")
-    size = int(number) << _UNITS[setting[len(number) :]]
-    return max(size, -1)
+    """A size setting such as ``128MB`` in bytes, as Spark reads it; -1 where it is switched off."""
+    setting = spark.conf.get(key).strip()
+    if setting.startswith("-"):
+        return -1
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(setting)
 
 
 @cache

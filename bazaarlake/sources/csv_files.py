@@ -1,21 +1,19 @@
 """Raw CSV sources: one declared format per file, bad lines set aside.
 
 Eight sources are plain line files and split freely. Review text holds commas, quotes
-and line breaks inside quotes, so that Spark's reader takes one task per file. That
-costs nothing up to the size of one split; larger files are cut into records in
-parallel by ``quoted`` first.
+and line breaks inside quotes: where a record ends can only be told from the start of its
+file, so Spark's multi-line reader takes one task per file, whatever its size. It runs
+in parallel over files; large exports of reviews should come as several.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from bazaarlake.session import setting_bytes
-from bazaarlake.sources.quoted import quoted_records
 from bazaarlake.sources.schemas import BRONZE
 
 BAD_LINE = "_bad_line"
@@ -85,22 +83,14 @@ def read_raw(
     reader = spark.read.schema(source.landing_schema).options(header=header, **options)
     if not source.line_breaks_in_text:
         return reader.csv(path)
-    reader = reader.option("multiLine", "true")
-
-    # Names and lengths only; the driver lists the files of a scan in any case.
-    split = setting_bytes(spark, "spark.sql.files.maxPartitionBytes")
-    files = spark.read.format("binaryFile").load(path).select("path", "length").collect()
-    small = [f["path"] for f in files if f["length"] <= split]
-    large = [f["path"] for f in files if f["length"] > split]
-    if not large:
-        return reader.csv(path)
-    parsed = F.from_csv(F.col("record"), source.landing_schema.toDDL(), options)
-    rows = (
-        quoted_records(spark, large, source.line_end, header)
-        .select(parsed.alias("row"))
-        .select("row.*")
-    )
-    return rows.union(reader.csv(small)) if small else rows
+    return reader.option("multiLine", "true").csv(path)
+
+
+def bad_lines(source: CsvSource) -> Column:
+    """How many lines of its file a row stands for as a reject; 0 for a good row."""
+    breaks = F.regexp_count(F.rtrim(BAD_LINE), F.lit("\r\n|\n"))
+    lines = breaks + 1 if source.line_breaks_in_text else F.lit(1)
+    return F.when(F.col(BAD_LINE).isNotNull(), lines).otherwise(0)
 
 
 def accepted(landed: DataFrame) -> DataFrame:

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import random
 from decimal import Decimal
 
 import pytest
@@ -8,9 +7,8 @@ from conftest import ts
 
 from bazaarlake.config import WarehouseConfig
 from bazaarlake.plans.pipeline import load_bronze
-from bazaarlake.sources.audit import LoadError
-from bazaarlake.sources.csv_files import SOURCES, accepted, read_raw, rejected
-from bazaarlake.sources.quoted import quoted_records
+from bazaarlake.sources.audit import BATCH, LoadError
+from bazaarlake.sources.csv_files import BAD_LINE, SOURCES, accepted, read_raw, rejected
 from bazaarlake.sources.tables import read_table, replace_table
 
 
@@ -75,7 +73,7 @@ def test_review_text_with_comma_quote_and_line_breaks(spark, conf, tmp_path):
     messages = ["plain", 'said "ok", fine', "two\r\nlines", "a\nb", '"\r\n"\r\n,', "x\r\n\r\ny", None]
     body = "\r\n".join([REVIEW_HEADER, *(review(n, m) for n, m in enumerate(messages))])
     path = write(tmp_path / "r.csv", body + "\r\n")
-    for split in ("128m", "64"):  # one task per file, and cut into blocks
+    for split in ("128m", "64"):
         conf(files__maxPartitionBytes=split)
         rows = accepted(read_raw(spark, SOURCES["order_reviews"], path)).collect()
         got = {r["review_id"]: r["review_comment_message"] for r in rows}
@@ -95,36 +93,31 @@ def test_small_and_large_review_files_together(spark, conf, tmp_path):
     assert sorted(r["review_comment_message"].split("\r\n")[0] for r in rows) == ["0"] + ["1"] * 200
 
 
-@pytest.mark.parametrize("block", [64, 257, 4096])
-def test_records_are_whole_across_block_borders(spark, conf, tmp_path, block):
-    chance = random.Random(block)
-    parts = ["a", "b c", '"', ",", "\r\n", "\n", "é", "\r\n\r\n", '""']
-    messages = [
-        "".join(chance.choices(parts, k=chance.randint(0, 12))) or "x" for _ in range(300)
-    ]
-    folder = tmp_path / "reviews"
-    folder.mkdir()
-    lines = [review(n, m) for n, m in enumerate(messages)]
-    for k in range(3):
-        body = "\r\n".join([REVIEW_HEADER, *lines[k::3]]) + "\r\n"
-        write(folder / f"part{k}.csv", body)
-    conf(files__maxPartitionBytes=str(block), files__openCostInBytes="1")
-    records = [r["record"] for r in quoted_records(spark, str(folder), "\r\n").collect()]
-    assert sorted(records) == sorted(lines)
-    rows = accepted(read_raw(spark, SOURCES["order_reviews"], str(folder))).collect()
-    assert {r["review_id"]: r["review_comment_message"] for r in rows} == {
-        f"r{n}": m for n, m in enumerate(messages)
-    }
+FILES = {
+    "a quote in an unquoted field": (
+        [f'r{n},o{n},1,t,{"6"}" screen,2018-01-01 00:00:00,2018-01-02 00:00:00' if n == 500
+         else review(n, f"{n}\r\nfine") for n in range(3000)], 3000, 0),
+    "a quote that is never closed": ([*(review(n, "x") for n in range(12)), 'r12,o12,1,"never closed'], 12, 1),
+    "many reviews and a stray quote": (
+        [f'r{n},o{n},1,t,{"6" + chr(34) if n == 70 else "m"},2018-01-01 00:00:00,2018-01-02 00:00:00'
+         for n in range(20000)], 20000, 0),
+}
 
 
-def test_unclosed_quote_does_not_gather_the_rest_of_the_file(spark, conf, tmp_path):
-    lines = [REVIEW_HEADER, 'r0,o0,1,"never closed']
-    lines += [f"r{n},o{n},1,t,m,2018-01-01 00:00:00,2018-01-02 00:00:00" for n in range(1, 500)]
-    path = write(tmp_path / "r.csv", "\r\n".join(lines) + "\r\n")
-    conf(files__maxPartitionBytes="1024", files__openCostInBytes="1")
-    records = [r["record"] for r in quoted_records(spark, path, "\r\n", max_record=5000).collect()]
-    assert sorted(records) == sorted(lines[1:])
-    assert len(quoted_records(spark, path, "\r\n").collect()) == 1
+@pytest.mark.parametrize("raw_quotes", [False, True])
+@pytest.mark.parametrize("name", FILES)
+def test_reviews_do_not_depend_on_the_split_size(spark, conf, tmp_path, name, raw_quotes):
+    lines, good, bad = FILES[name]
+    empty_sources(tmp_path / "files")
+    write(tmp_path / "files" / "order_reviews.csv", "\r\n".join([REVIEW_HEADER, *lines]) + "\r\n")
+    seen = set()
+    for split in ("128m", "64k", "100"):
+        conf(files__maxPartitionBytes=split, files__openCostInBytes="1")
+        path = str(tmp_path / "files" / "order_reviews.csv")
+        rows = read_raw(spark, SOURCES["order_reviews"], path, raw_quotes).collect()
+        rejects = sum(row[BAD_LINE] is not None for row in rows)
+        seen.add((len(rows) - rejects, rejects, hash(tuple(sorted(map(repr, rows))))))
+    assert len(seen) == 1 and next(iter(seen))[:2] == (good, bad)
 
 
 def empty_sources(folder):
@@ -134,25 +127,62 @@ def empty_sources(folder):
         write(folder / f"{name}.csv", header + source.line_end)
 
 
-def test_load_tolerates_few_bad_lines_and_fails_on_many(spark, tmp_path):
-    empty_sources(tmp_path / "files")
-    good = "o1,1,boleto,1,2.50\n"
+def payments(tmp_path, bad):
     source = tmp_path / "files" / "order_payments.csv"
-    write(source, "a,b,c,d,e\n" + good + "o2,1,boleto,1,n/a\n" * 10)
+    write(source, "a,b,c,d,e\no1,1,boleto,1,2.50\n" + "o2,1,boleto,1,n/a\n" * bad)
+
+
+def loaded_payments(spark, config):
+    return accepted(
+        read_table(
+            spark,
+            config.table_path("bronze", "order_payments"),
+            SOURCES["order_payments"].landing_schema,
+        )
+    )
+
+
+def test_load_tolerates_few_bad_lines_and_keeps_the_table_on_many(spark, tmp_path):
+    empty_sources(tmp_path / "files")
+    payments(tmp_path, 10)
     config = WarehouseConfig(str(tmp_path / "files"), str(tmp_path / "wh"))
     audit = {load.table_name: load for load in load_bronze(spark, config)}
-    payments = audit["order_payments"]
-    assert (payments.rows_written, payments.rows_rejected, payments.status) == (1, 10, "loaded")
-    assert payments.seconds > 0
-
-    write(source, "a,b,c,d,e\n" + good + "o2,1,boleto,1,n/a\n" * 11)
+    load = audit["order_payments"]
+    assert (load.rows_written, load.rows_rejected, load.status) == (1, 10, "loaded")
+    assert load.seconds > 0
+    total = audit[BATCH]
+    assert (total.rows_written, total.rows_rejected, total.status) == (1, 10, "loaded")
+    assert total.seconds >= load.seconds
+
+    payments(tmp_path, 11)
     with pytest.raises(LoadError) as error:
         load_bronze(spark, config)
-    status = {load.table_name: load.status for load in error.value.audit}
-    assert status["order_payments"] == "failed"
-    assert sorted(set(status.values())) == ["failed", "loaded"]
-    landed = SOURCES["order_payments"].landing_schema
-    assert read_table(spark, config.table_path("bronze", "order_payments"), landed).count() == 0
+    failed = {load.table_name: load for load in error.value.audit}
+    load = failed["order_payments"]
+    assert (load.rows_written, load.rows_rejected, load.status) == (0, 11, "failed")
+    assert load.seconds > 0 and failed[BATCH].status == "failed"
+    assert {x.status for x in failed.values()} == {"failed", "loaded"}
+    # The last good load is still there, and nothing else.
+    assert loaded_payments(spark, config).count() == 1
+    assert len(list((tmp_path / "wh" / "bronze").iterdir())) == len(SOURCES)
+
+
+def test_share_of_bad_lines_may_be_tolerated(spark, tmp_path):
+    empty_sources(tmp_path / "files")
+    payments(tmp_path, 30)
+    paths = (str(tmp_path / "files"), str(tmp_path / "wh"))
+    load_bronze(spark, WarehouseConfig(*paths, max_error_share=0.97))
+    with pytest.raises(LoadError):
+        load_bronze(spark, WarehouseConfig(*paths, max_error_share=0.96))
+
+
+def test_rejects_of_a_record_count_its_lines(spark, tmp_path):
+    lines = [REVIEW_HEADER, review(1, "good"), 'r2,o2,1,"never closed', *["more"] * 20]
+    empty_sources(tmp_path / "files")
+    write(tmp_path / "files" / "order_reviews.csv", "\r\n".join(lines) + "\r\n")
+    config = WarehouseConfig(str(tmp_path / "files"), str(tmp_path / "wh"))
+    with pytest.raises(LoadError, match="21 bad lines"):
+        load_bronze(spark, config)
 
 
 def test_missing_file_raises(spark, tmp_path):

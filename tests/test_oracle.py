@@ -6,9 +6,11 @@ import pytest
 from oracle_check import connect, difference
 
 import __spark_entry__ as entry
+from bazaarlake.testbed.oracle import REPORTS, oracle
+from bazaarlake.testbed.registry import REGISTRY
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = REGISTRY
+ORACLES = {name: oracle(name) for name in REPORTS if name in REGISTRY}
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +20,8 @@ def duck(sf_small):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry_returns_rows(spark):

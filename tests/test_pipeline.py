@@ -13,7 +13,7 @@ from bazaarlake.plans.pipeline import (
 )
 from bazaarlake.plans.questions import QUESTIONS
 from bazaarlake.plans.warehouse import GOLD_TABLES, Warehouse
-from bazaarlake.sources.audit import audit_frame
+from bazaarlake.sources.audit import BATCH, audit_frame
 from bazaarlake.sources.schemas import SILVER
 from bazaarlake.testbed.landing import landed_warehouse
 from bazaarlake.testbed.registry import derived_warehouse
@@ -33,7 +33,8 @@ def plain(df):
 def test_audit_covers_every_table(spark, loaded):
     _, audit = loaded
     frame = audit_frame(spark, audit)
-    assert frame.count() == 9 + len(SILVER) + len(GOLD_TABLES)
+    # A row per table, and one for each layer's batch.
+    assert frame.count() == 9 + len(SILVER) + len(GOLD_TABLES) + 3
     assert {r["status"] for r in frame.collect()} == {"loaded"}
     assert all(load.rows_written > 0 for load in audit)
 
@@ -43,6 +44,7 @@ def test_a_second_load_replaces_the_first(spark, loaded):
     again = load_silver(spark, config)
     first = {a.table_name: a.rows_written for a in audit if a.layer == "silver"}
     assert {a.table_name: a.rows_written for a in again} == first
+    assert first.pop(BATCH) == sum(first.values())
     for name, rows in first.items():
         assert Warehouse.from_tables(spark, config).silver(name).count() == rows
 

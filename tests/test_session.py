@@ -6,7 +6,7 @@ from bazaarlake import session
 
 
 @pytest.mark.parametrize(
-    "setting,size", [("10485760b", 10485760), ("10MB", 10485760), ("64", 64), ("-1", -1)]
+    "setting,size", [("10485760b", 10485760), ("10MB", 10485760), ("64", 64), ("1t", 1 << 40), ("-1", -1)]
 )
 def test_size_settings(spark, conf, setting, size):
     conf(autoBroadcastJoinThreshold=setting)
