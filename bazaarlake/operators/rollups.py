@@ -38,5 +38,7 @@ def items_per_order_and(items: DataFrame, group: str) -> DataFrame:
     return items.groupBy("order_id", group).agg(
         F.count(F.lit(1)).alias("items"),
         F.sum("price").alias("price"),
+        F.count("price").alias("prices"),
         F.sum("freight_value").alias("freight_value"),
+        F.count("freight_value").alias("freights"),
     )

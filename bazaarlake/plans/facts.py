@@ -46,13 +46,31 @@ def _flag(condition: Column) -> Column:
 # -- order grain ---------------------------------------------------------------------
 
 ORDER_COLUMNS = (
-    "order_id order_status customer_id customer_unique_id customer_state customer_city"
-    " order_purchase_timestamp purchase_date purchase_month"
-    " order_delivered_customer_date order_estimated_delivery_date"
-    " item_count seller_count items_value freight_value"
-    " payment_value max_installments payment_type_count review_score"
-    " is_delivered delivery_days delay_days is_late is_valid_sale"
-).split()
+    "order_id",
+    "order_status",
+    "customer_id",
+    "customer_unique_id",
+    "customer_state",
+    "customer_city",
+    "order_purchase_timestamp",
+    "purchase_date",
+    "purchase_month",
+    "order_delivered_customer_date",
+    "order_estimated_delivery_date",
+    "item_count",
+    "seller_count",
+    "items_value",
+    "freight_value",
+    "payment_value",
+    "max_installments",
+    "payment_type_count",
+    "review_score",
+    "is_delivered",
+    "delivery_days",
+    "delay_days",
+    "is_late",
+    "is_valid_sale",
+)
 CUSTOMER_COLUMNS = ("customer_unique_id", "customer_state", "customer_city")
 
 

@@ -6,8 +6,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake import fixed_values as fv
-from bazaarlake.functions import band, days_between, mean_of, pct, pct_where, ratio, rounded
+from bazaarlake.functions import (
+    band,
+    days_between,
+    mean_of,
+    pct,
+    pct_where,
+    ratio,
+    rounded,
+    weighted_mean,
+)
 from bazaarlake.operators.lookup import lookup_join
+from bazaarlake.operators.rollups import items_per_order_and
+from bazaarlake.operators.scorecard import scorecard
 from bazaarlake.operators.shares import pct_of_total
 from bazaarlake.plans.facts import DELIVERED_AT, PROMISED_AT, PURCHASED
 from bazaarlake.plans.questions.common import LINE_ID, delivered_orders, in_months
@@ -39,15 +50,14 @@ def delivery_kpis(wh: Warehouse) -> DataFrame:
 def state_late_rate(wh: Warehouse) -> DataFrame:
     """Lateness per customer state with enough deliveries, worst first."""
     return (
-        delivered_orders(wh, customer=True)
-        .groupBy("customer_state")
-        .agg(
-            _deliveries(),
-            _avg_days(),
-            _late_pct(1),
-            mean_of("review_score", 2).alias("avg_review"),
+        scorecard(
+            delivered_orders(wh, customer=True),
+            "customer_state",
+            F.count(F.lit(1)),
+            wh.params.min_state_orders,
+            [_avg_days(), _late_pct(1), mean_of("review_score", 2).alias("avg_review")],
+            "delivered_orders",
         )
-        .filter(F.col("delivered_orders") >= wh.params.min_state_orders)
         .orderBy(F.col("late_pct").desc(), "customer_state")
     )
 
@@ -121,17 +131,19 @@ def route_type(wh: Warehouse) -> DataFrame:
     )
     sellers = wh.silver("sellers").select("seller_id", "seller_state")
     items = lookup_join(wh.silver("order_items"), sellers, "seller_id", "inner", LINE_ID)
+    lines = items_per_order_and(items, "seller_state")
     same_state = F.col("customer_state") == F.col("seller_state")
+    late = F.when(F.col("delay_days") > 0, F.col("items")).otherwise(0)
     routes = (
-        items.join(deliveries, "order_id")
+        lines.join(deliveries, "order_id")
         .groupBy(
             F.when(same_state, fv.SAME_STATE).otherwise(fv.CROSS_STATE).alias("route_type")
         )
         .agg(
-            F.count(F.lit(1)).alias("items"),
-            _avg_days(),
+            F.sum("items").alias("items"),
+            weighted_mean(F.col("delivery_days"), F.col("items"), 1).alias("avg_delivery_days"),
             pct(F.sum("freight_value"), F.sum("price"), 1).alias("freight_pct_of_price"),
-            pct_where(F.col("delay_days") > 0, 1).alias("late_pct"),
+            pct(F.sum(late), F.sum("items"), 1).alias("late_pct"),
         )
     )
     return pct_of_total(routes, "items", "pct_of_items", 1).orderBy("route_type")

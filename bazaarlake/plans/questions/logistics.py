@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.functions import mean_of, pct
+from bazaarlake.functions import mean_of, pct, ratio
+from bazaarlake.operators.rollups import items_per_order_and
+from bazaarlake.operators.scorecard import scorecard
 from bazaarlake.operators.topk import top_k
 from bazaarlake.plans.questions.common import items_with_category, kept_orders
 from bazaarlake.plans.warehouse import Warehouse
@@ -14,31 +16,35 @@ from bazaarlake.plans.warehouse import Warehouse
 def state_freight_burden(wh: Warehouse) -> DataFrame:
     """Freight per order and relative to goods value, per customer state."""
     return (
-        wh.fact_orders(valid_only=True)
-        .groupBy("customer_state")
-        .agg(
-            F.count(F.lit(1)).alias("orders"),
-            mean_of("freight_value", 2).alias("avg_freight"),
-            pct(F.sum("freight_value"), F.sum("items_value"), 1).alias("freight_pct_of_price"),
-        )
-        .filter(F.col("orders") >= wh.params.min_state_orders)
-        .orderBy(F.col("freight_pct_of_price").desc(), "customer_state")
+        scorecard(
+            wh.fact_orders(valid_only=True),
+            "customer_state",
+            F.count(F.lit(1)),
+            wh.params.min_state_orders,
+            [
+                mean_of("freight_value", 2).alias("avg_freight"),
+                pct(F.sum("freight_value"), F.sum("items_value"), 1).alias(
+                    "freight_pct_of_price"
+                ),
+            ],
+        ).orderBy(F.col("freight_pct_of_price").desc(), "customer_state")
     )
 
 
 def category_freight_burden(wh: Warehouse) -> DataFrame:
     """Categories with enough items and the highest freight burden."""
-    burden = (
-        items_with_category(wh)
-        .join(kept_orders(wh), "order_id")
-        .groupBy("category")
-        .agg(
-            F.count(F.lit(1)).alias("items_sold"),
-            mean_of("price", 2).alias("avg_price"),
-            mean_of("freight_value", 2).alias("avg_freight"),
+    lines = items_per_order_and(items_with_category(wh), "category")
+    burden = scorecard(
+        lines.join(kept_orders(wh), "order_id"),
+        "category",
+        F.sum("items"),
+        wh.params.min_category_items,
+        [
+            ratio(F.sum("price"), F.sum("prices"), 2).alias("avg_price"),
+            ratio(F.sum("freight_value"), F.sum("freights"), 2).alias("avg_freight"),
             pct(F.sum("freight_value"), F.sum("price"), 1).alias("freight_pct_of_price"),
-        )
-        .filter(F.col("items_sold") >= wh.params.min_category_items)
+        ],
+        "items_sold",
     )
     return top_k(
         burden,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake import fixed_values as fv
-from bazaarlake.functions import band, mean_of, pct_where, ratio
+from bazaarlake.functions import band, pct, ratio
 from bazaarlake.operators.shares import pct_of_total
 from bazaarlake.plans.questions.common import kept_orders
 from bazaarlake.plans.warehouse import Warehouse
@@ -47,13 +47,21 @@ def installments_by_value(wh: Warehouse) -> DataFrame:
     """Use of installments per band of card payment value."""
     cards = wh.silver("order_payments").filter(F.col("payment_type") == fv.CREDIT_CARD)
     value_band = band(F.col("payment_value"), fv.PAYMENT_BAND_EDGES, fv.PAYMENT_BAND_LABELS)
+    per_order = cards.groupBy("order_id", value_band.alias("value_band")).agg(
+        F.count(F.lit(1)).alias("payments"),
+        F.sum("payment_installments").alias("installments"),
+        F.count("payment_installments").alias("installment_plans"),
+        F.count_if(F.col("payment_installments") > 1).alias("split"),
+    )
     return (
-        cards.join(kept_orders(wh), "order_id")
-        .groupBy(value_band.alias("value_band"))
+        per_order.join(kept_orders(wh), "order_id")
+        .groupBy("value_band")
         .agg(
-            F.count(F.lit(1)).alias("payments"),
-            mean_of("payment_installments", 1).alias("avg_installments"),
-            pct_where(F.col("payment_installments") > 1, 1).alias("pct_using_installments"),
+            F.sum("payments").alias("payments"),
+            ratio(F.sum("installments"), F.sum("installment_plans"), 1).alias(
+                "avg_installments"
+            ),
+            pct(F.sum("split"), F.sum("payments"), 1).alias("pct_using_installments"),
         )
         .orderBy("value_band")
     )

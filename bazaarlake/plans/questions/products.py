@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bazaarlake import fixed_values as fv
 from bazaarlake.functions import band, mean_of, pct, pct_where, ratio, weighted_mean
 from bazaarlake.operators.rollups import items_per_order_and
+from bazaarlake.operators.scorecard import scorecard
 from bazaarlake.operators.shares import pareto, pct_of_total
 from bazaarlake.operators.topk import top_k
 from bazaarlake.plans.questions.common import items_with_category, kept_orders
@@ -45,15 +46,15 @@ def category_scorecard(wh: Warehouse) -> DataFrame:
 def lowest_rated_categories(wh: Warehouse) -> DataFrame:
     """Categories with enough orders and the lowest review score, with their lateness."""
     lines = items_per_order_and(items_with_category(wh), "category")
-    rated = (
-        lines.join(wh.order_outcomes(), "order_id")
-        .groupBy("category")
-        .agg(
-            _orders(),
+    rated = scorecard(
+        lines.join(wh.order_outcomes(), "order_id"),
+        "category",
+        F.count_distinct("order_id"),
+        wh.params.min_category_orders,
+        [
             weighted_mean(F.col("review_score"), F.col("items"), 2).alias("avg_review"),
             pct(F.sum(F.col("is_late") * F.col("items")), F.sum("items"), 1).alias("late_pct"),
-        )
-        .filter(F.col("orders") >= wh.params.min_category_orders)
+        ],
     )
     return top_k(
         rated, wh.params.lowest_rated_categories, [F.col("avg_review").asc()], ["category"]

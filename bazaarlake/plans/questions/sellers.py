@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bazaarlake.functions import pct, weighted_mean
 from bazaarlake.operators.ranking import global_ntile
 from bazaarlake.operators.rollups import items_per_order_and
+from bazaarlake.operators.scorecard import scorecard
 from bazaarlake.operators.shares import pct_of_total, share_full_outer
 from bazaarlake.operators.topk import ranked_top_k
 from bazaarlake.plans.questions.common import kept_orders
@@ -17,16 +18,16 @@ from bazaarlake.plans.warehouse import Warehouse
 def _seller_performance(wh: Warehouse, min_orders: int) -> DataFrame:
     """Orders, revenue, review score and lateness of sellers with enough orders."""
     lines = items_per_order_and(wh.silver("order_items"), "seller_id")
-    performance = (
-        lines.join(wh.order_outcomes(), "order_id")
-        .groupBy("seller_id")
-        .agg(
-            F.count_distinct("order_id").alias("orders"),
+    performance = scorecard(
+        lines.join(wh.order_outcomes(), "order_id"),
+        "seller_id",
+        F.count_distinct("order_id"),
+        min_orders,
+        [
             F.sum("price").alias("revenue"),
             weighted_mean(F.col("review_score"), F.col("items"), 2).alias("avg_review"),
             pct(F.sum(F.col("is_late") * F.col("items")), F.sum("items"), 1).alias("late_pct"),
-        )
-        .filter(F.col("orders") >= min_orders)
+        ],
     )
     sellers = wh.silver("sellers").select("seller_id", "seller_state")
     return performance.join(sellers, "seller_id")
@@ -47,7 +48,7 @@ def seller_deciles(wh: Warehouse) -> DataFrame:
     """Concentration of revenue: sellers in ten equal groups, richest first."""
     known = wh.silver("sellers").select("seller_id", F.lit(True).alias("_known"))
     revenue = (
-        wh.silver("order_items")
+        items_per_order_and(wh.silver("order_items"), "seller_id")
         .join(kept_orders(wh), "order_id")
         .groupBy("seller_id")
         .agg(F.sum("price").alias("revenue"))

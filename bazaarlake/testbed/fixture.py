@@ -101,7 +101,9 @@ _SECOND_PAYMENT = _select(
 
 _REVIEW = {
     "review_id": _id("r", "o_orderkey"),
-    "order_id": _id("o", "o_orderkey"),
+    # Reviews of orders that do not exist, so that some orders have none.
+    "order_id": f"CASE o_orderkey % 20 WHEN 7 THEN {_id('x', 'o_orderkey')}"
+    f" ELSE {_id('o', 'o_orderkey')} END",
     "review_score": "CAST(1 + (o_orderkey * 13) % 5 AS INT)",
     "review_comment_title": "CASE WHEN o_orderkey % 6 = 0 THEN 'title ' || "
     f"{_text('o_orderkey % 7')} END",
@@ -137,13 +139,17 @@ RAW_SQL: dict[str, str] = {
     ),
     "geolocation": _select(
         {
-            "geolocation_zip_code_prefix": _quoted(_CUSTOMER_ZIP),
+            # Zips no customer has, so that some customers' zips are missing here.
+            "geolocation_zip_code_prefix": _quoted(
+                f"CASE c_custkey % 40 WHEN 39 THEN {_id('x', 'c_custkey')}"
+                f" ELSE {_CUSTOMER_ZIP} END"
+            ),
             "geolocation_lat": _degrees(-3600, 37),
             "geolocation_lng": _degrees(-7600, 53),
             "geolocation_city": _quoted(_id("city ", "c_custkey % 200")),
             "geolocation_state": _quoted(_id("S", "c_nationkey")),
         },
-        "customer WHERE c_custkey % 40 <> 39",
+        "customer",
     ),
     "order_items": _select(
         {
@@ -158,7 +164,7 @@ RAW_SQL: dict[str, str] = {
         "lineitem",
     ),
     "order_payments": f"{_FIRST_PAYMENT}\nUNION ALL\n{_SECOND_PAYMENT}",
-    "order_reviews": _select(_REVIEW, "orders WHERE o_orderkey % 20 <> 7")
+    "order_reviews": _select(_REVIEW, "orders")
     + "\nUNION ALL\n"
     + _select(_EXTRA_REVIEW, "orders WHERE o_orderkey % 100 = 1"),
     "orders": _select(
@@ -206,12 +212,15 @@ RAW_SQL: dict[str, str] = {
     ),
     "category_translation": _select(
         {
-            "product_category_name": _quoted(_CATEGORY),
+            # Names no product has, so that one brand's categories are missing here.
+            "product_category_name": _quoted(
+                f"CASE p_brand WHEN 'Brand#2' THEN 'x ' ELSE '' END || {_CATEGORY}"
+            ),
             "product_category_name_english": _quoted(
                 f"'eng ' || lower(p_type) || ' ' || {_BRAND}"
             ),
         },
-        "(SELECT DISTINCT p_type, p_brand FROM part WHERE p_brand <> 'Brand#2') AS names",
+        "(SELECT DISTINCT p_type, p_brand FROM part) AS names",
     ),
 }
 
