@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake import fixed_values as fv
 from bazaarlake.operators.lookup import lookup_join
+from bazaarlake.operators.rollups import items_per_order_and
 from bazaarlake.plans.warehouse import Warehouse
 
 
@@ -40,6 +41,33 @@ def kept_orders(wh: Warehouse) -> DataFrame:
     return orders.filter(~F.col("order_status").isin(*fv.NOT_A_SALE)).select("order_id")
 
 
+def kept_status() -> Column:
+    """Of a loaded fact: the order's status is known and does not void the sale."""
+    return ~F.col("order_status").isin(*fv.NOT_A_SALE)
+
+
+def kept_lines(wh: Warehouse, group: str) -> DataFrame:
+    """Items of kept orders, folded to one row per order and ``group``.
+
+    ``group`` is ``category`` or ``seller_id``; a seller no dimension knows is NULL in a
+    loaded fact. The loaded fact has the status, so nothing is joined for it.
+    """
+    fact = wh.loaded("fact_order_items")
+    if fact is None:
+        items = items_with_category(wh) if group == "category" else wh.silver("order_items")
+        return items_per_order_and(items, group).join(kept_orders(wh), "order_id")
+    kept = fact.filter(kept_status())
+    if group == "category":
+        names = wh.gold("dim_products").select(
+            "product_key", F.col("product_category_name_eng").alias("category")
+        )
+        keyed = lookup_join(kept, names, "product_key", "inner", LINE_ID)
+    else:
+        sellers = wh.gold("dim_sellers").select("seller_key", "seller_id")
+        keyed = lookup_join(kept, sellers, "seller_key", "left", LINE_ID)
+    return items_per_order_and(keyed, group)
+
+
 def items_with_category(wh: Warehouse) -> DataFrame:
     return lookup_join(
         wh.silver("order_items"), wh.product_categories(), "product_id", "inner", LINE_ID

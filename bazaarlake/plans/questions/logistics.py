@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.functions import mean_of, pct, ratio
-from bazaarlake.operators.rollups import items_per_order_and
 from bazaarlake.operators.scorecard import scorecard
 from bazaarlake.operators.topk import top_k
-from bazaarlake.plans.questions.common import items_with_category, kept_orders
+from bazaarlake.plans.questions.common import kept_lines
 from bazaarlake.plans.warehouse import Warehouse
 
 
@@ -33,9 +32,8 @@ def state_freight_burden(wh: Warehouse) -> DataFrame:
 
 def category_freight_burden(wh: Warehouse) -> DataFrame:
     """Categories with enough items and the highest freight burden."""
-    lines = items_per_order_and(items_with_category(wh), "category")
     burden = scorecard(
-        lines.join(kept_orders(wh), "order_id"),
+        kept_lines(wh, "category"),
         "category",
         F.sum("items"),
         wh.params.min_category_items,

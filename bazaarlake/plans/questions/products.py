@@ -11,7 +11,7 @@ from bazaarlake.operators.rollups import items_per_order_and
 from bazaarlake.operators.scorecard import scorecard
 from bazaarlake.operators.shares import pareto, pct_of_total
 from bazaarlake.operators.topk import top_k
-from bazaarlake.plans.questions.common import items_with_category, kept_orders
+from bazaarlake.plans.questions.common import items_with_category, kept_lines
 from bazaarlake.plans.warehouse import Warehouse
 
 
@@ -25,8 +25,7 @@ def _revenue() -> Column:
 
 def category_pareto(wh: Warehouse) -> DataFrame:
     """Revenue share and running share per category, largest first."""
-    lines = items_per_order_and(items_with_category(wh), "category")
-    revenue = lines.join(kept_orders(wh), "order_id").groupBy("category").agg(_orders(), _revenue())
+    revenue = kept_lines(wh, "category").groupBy("category").agg(_orders(), _revenue())
     return pareto(revenue, "revenue", ["category"], cutoff_pct=wh.params.pareto_cutoff_pct)
 
 

@@ -6,18 +6,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlake.functions import pct, weighted_mean
+from bazaarlake.operators.lookup import lookup_join
 from bazaarlake.operators.ranking import global_ntile
 from bazaarlake.operators.rollups import items_per_order_and
 from bazaarlake.operators.scorecard import scorecard
 from bazaarlake.operators.shares import pct_of_total, share_full_outer
 from bazaarlake.operators.topk import ranked_top_k
-from bazaarlake.plans.questions.common import kept_orders
+from bazaarlake.plans.questions.common import LINE_ID, kept_lines
 from bazaarlake.plans.warehouse import Warehouse
 
 
 def _seller_performance(wh: Warehouse, min_orders: int) -> DataFrame:
     """Orders, revenue, review score and lateness of sellers with enough orders."""
-    lines = items_per_order_and(wh.silver("order_items"), "seller_id")
+    fact = wh.loaded("fact_order_items")
+    if fact is None:
+        lines = items_per_order_and(wh.silver("order_items"), "seller_id")
+    else:
+        sellers = wh.gold("dim_sellers").select("seller_key", "seller_id")
+        lines = items_per_order_and(
+            lookup_join(fact, sellers, "seller_key", "inner", LINE_ID), "seller_id"
+        )
     performance = scorecard(
         lines.join(wh.order_outcomes(), "order_id"),
         "seller_id",
@@ -48,8 +56,7 @@ def seller_deciles(wh: Warehouse) -> DataFrame:
     """Concentration of revenue: sellers in ten equal groups, richest first."""
     known = wh.silver("sellers").select("seller_id", F.lit(True).alias("_known"))
     revenue = (
-        items_per_order_and(wh.silver("order_items"), "seller_id")
-        .join(kept_orders(wh), "order_id")
+        kept_lines(wh, "seller_id")
         .groupBy("seller_id")
         .agg(F.sum("price").alias("revenue"))
         # Sellers the dimension does not know share one group, as they share no key.

@@ -158,6 +158,10 @@ class Warehouse:
 
     # -- report inputs -----------------------------------------------------------------
 
+    def loaded(self, name: str) -> DataFrame | None:
+        """A star table that has been loaded, else None."""
+        return self._gold.get(name)
+
     def product_categories(self) -> DataFrame:
         """Report category per product, without numbering the dimension."""
         return self.silver("products").select(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.config import WarehouseConfig
-from bazaarlake.plans.pipeline import load_bronze, load_silver
+from bazaarlake.plans.pipeline import load_bronze, load_gold, load_silver
 from bazaarlake.session import scratch_path, written
 from bazaarlake.sources.audit import audit_frame
 from bazaarlake.sources.csv_files import (
@@ -77,6 +79,23 @@ def landed_warehouse(spark: SparkSession, sf_dir: str) -> WarehouseConfig:
     return config
 
 
+@cache
+def _loaded_once(application_id: str, sf_dir: str) -> dict[str, WarehouseConfig]:
+    return {}
+
+
+def loaded_warehouse(spark: SparkSession, sf_dir: str) -> WarehouseConfig:
+    """All three layers written from the landed files, once per application."""
+    known = _loaded_once(spark.sparkContext.applicationId, sf_dir)
+    if not known:
+        config = landed_warehouse(spark, sf_dir)
+        load_bronze(spark, config)
+        load_silver(spark, config)
+        load_gold(spark, config)
+        known["config"] = config
+    return known["config"]
+
+
 def landed_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Audit of loading all files into the raw and the cleansed layer."""
     config = landed_warehouse(spark, sf_dir)

@@ -15,7 +15,12 @@ from bazaarlake.sources.csv_files import SOURCES
 from bazaarlake.sources.schemas import SILVER
 from bazaarlake.testbed.compare import comparable
 from bazaarlake.testbed.fixture import PARAMS, raw_tables
-from bazaarlake.testbed.landing import landed_audit, landed_rejects, landed_source
+from bazaarlake.testbed.landing import (
+    landed_audit,
+    landed_rejects,
+    landed_source,
+    loaded_warehouse,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,7 +69,30 @@ def _landed(name: str) -> Query:
     return lambda spark, sf_dir: comparable(landed_source(spark, sf_dir, name))
 
 
+# Reports and facts read from the loaded layers, and what each must equal.
+LOADED: dict[str, str] = {
+    "loaded_q06": "q06_category_pareto",
+    "loaded_q17": "q17_category_freight_burden",
+    "loaded_q18": "q18_seller_scorecard",
+    "loaded_q19": "q19_seller_deciles",
+    "loaded_q25": "q25_payment_mix",
+    "loaded_q26": "q26_installments_by_value",
+    "loaded_q28": "q28_review_distribution",
+    **{f"loaded_{name}": f"gold_{name}" for name in GOLD_TABLES if name.startswith("fact_")},
+}
+
+
+def _loaded(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        config = loaded_warehouse(spark, sf_dir)
+        wh = Warehouse.from_tables(spark, config, gold=GOLD_TABLES)
+        return comparable(_WAREHOUSE_QUERIES[LOADED[name]](wh))
+
+    return query
+
+
 REGISTRY: dict[str, Query] = {
+    **{name: _loaded(name) for name in LOADED},
     **{f"bronze_{name}": _landed(name) for name in SOURCES},
     "bronze_rejects": landed_rejects,
     "load_audit": landed_audit,
