@@ -19,7 +19,6 @@ import zlib
 from collections import deque
 from collections.abc import Iterator
 from functools import cache
-from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -28,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from bazaarlake.llm.common import text_slices, texts_of
-from bazaarlake.llm.words import Chunker, Special
+from bazaarlake.llm.words import Chunker, Special, byte_alphabet
 
 WINDOW = 4096
 SENTENCE_CUT = 4.0
@@ -40,7 +39,7 @@ WORD_CUT_EVERY = 24
 SEGMENT_WINDOWS = 64
 # Distinct chunks a Python worker remembers, over its tasks, before it forgets them all.
 REMEMBERED_CHUNKS = 1_000_000
-SENTENCE_ENDS = frozenset(".!?…。！？")
+SENTENCE_ENDS = ".!?…。！？"
 
 
 class Document(NamedTuple):
@@ -59,14 +58,23 @@ class ChunkIds:
     def __init__(self, path: str, remembered: int = REMEMBERED_CHUNKS) -> None:
         self.chunker = Chunker(path)
         self.remembered = remembered
-        self._known: dict = {}
-
-    def learn(self, chunk_lists: list[list]) -> dict:
-        fresh = set().union(*chunk_lists) - self._known.keys()
-        if len(self._known) + len(fresh) > self.remembered:
-            self._known = {}
+        self.known: dict = {}
+        tokenizer = self.chunker.tokenizer
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        mark = tokenizer.model.end_of_word_suffix or ""
+        ends = tuple(byte_alphabet(sign) + mark for sign in SENTENCE_ENDS)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_sentence = self.ends_word.copy()
+        for token, number in vocabulary.items():
+            self.ends_word[number] = token.endswith(mark)
+            self.ends_sentence[number] = token.endswith(ends)
+
+    def learn(self, chunk_lists: list[list]) -> None:
+        fresh = set().union(*chunk_lists) - self.known.keys()
+        if len(self.known) + len(fresh) > self.remembered:
+            self.known = {}
             fresh = set().union(*chunk_lists)
-        known, pieces = self._known, {}
+        known, pieces = self.known, {}
         for chunk in fresh:
             if isinstance(chunk, Special):
                 known[chunk] = np.array([chunk.token_id], "<u4").tobytes()
@@ -79,7 +87,6 @@ class ChunkIds:
         }
         for chunk, parts in pieces.items():
             known[chunk] = b"".join([words[part] for part in parts])
-        return known
 
 
 @cache
@@ -88,22 +95,21 @@ def chunk_ids(path: str) -> ChunkIds:
     return ChunkIds(path)
 
 
-def document(row: tuple, chunks: list, known: dict, end: bytes) -> Document:
-    parts = [known[chunk] for chunk in chunks]
-    reached = np.fromiter(accumulate(map(len, parts)), np.int64, len(parts)) >> 2
-    sentences = [n for n, chunk in enumerate(chunks) if chunk[-1] in SENTENCE_ENDS]
-    stops = dict.fromkeys(reached[_every(reached)].tolist(), WORD_CUT)
-    stops.update(dict.fromkeys(reached[np.array(sentences, np.int64)].tolist(), SENTENCE_CUT))
-    parts.append(end)
-    return Document(row, b"".join(parts), sorted(stops.items()))
+def document(row: tuple, chunks: list, encoder: ChunkIds, end: bytes) -> Document:
+    ids = b"".join(map(encoder.known.__getitem__, chunks))
+    tokens = np.frombuffer(ids, "<u4")
+    stops = dict.fromkeys(_every(np.flatnonzero(encoder.ends_word[tokens]) + 1), WORD_CUT)
+    sentences = np.flatnonzero(encoder.ends_sentence[tokens]) + 1
+    stops.update(dict.fromkeys(sentences.tolist(), SENTENCE_CUT))
+    return Document(row, ids + end, sorted(stops.items()))
 
 
-def _every(reached: np.ndarray) -> np.ndarray:
+def _every(reached: np.ndarray) -> list[int]:
     """The first word end behind every WORD_CUT_EVERY tokens."""
     if not len(reached):
-        return np.zeros(0, np.int64)
+        return []
     goals = np.arange(WORD_CUT_EVERY, reached[-1] + 1, WORD_CUT_EVERY)
-    return np.searchsorted(reached, goals)
+    return reached[np.searchsorted(reached, goals)].tolist()
 
 
 def boundaries(docs: list[Document], window: int) -> tuple[list[int], list[float]]:
@@ -281,11 +287,11 @@ def pack(
                 ]
                 arrow = pa.schema(fields)
             lists = [encoder.chunker.chunks(text) for text in texts_of(batch.column("text"))]
-            known = encoder.learn(lists)
+            encoder.learn(lists)
             rows = zip(*(batch.column(name).to_pylist() for name in columns), strict=True)
             waiting = sum(d.tokens for d in held) - done
             for row, chunks in zip(rows, lists, strict=True):
-                held.append(document(row, chunks, known, end))
+                held.append(document(row, chunks, encoder, end))
                 waiting += held[-1].tokens
                 if waiting >= SEGMENT_WINDOWS * window:
                     yield decided(last=False)
