@@ -11,7 +11,7 @@ from bazaarlake import fixed_values as fv
 from bazaarlake.functions import blank_to_null, strip_quotes
 from bazaarlake.operators.checks import grain_check, rule
 from bazaarlake.plans.dims import locate_customers, locate_sellers
-from bazaarlake.plans.facts import DELIVERED_AT
+from bazaarlake.plans.facts import DELIVERED_AT, PURCHASED
 from bazaarlake.plans.warehouse import Warehouse
 
 
@@ -69,6 +69,14 @@ def delivered_without_date(wh: Warehouse) -> DataFrame:
     return rule(wh.silver("orders"), "orders", "delivered_without_date", undated)
 
 
+def outside_calendar(wh: Warehouse) -> DataFrame:
+    """Orders bought on a day the calendar does not hold; line facts have no date key for them."""
+    outside = ~F.to_date(PURCHASED).between(
+        F.lit(wh.params.calendar_from), F.lit(wh.params.calendar_to)
+    )
+    return rule(wh.silver("orders"), "orders", "outside_calendar", outside)
+
+
 def undefined_payments(wh: Warehouse) -> DataFrame:
     undefined = strip_quotes("payment_type") == fv.UNDEFINED_PAYMENT
     return rule(wh.raw("order_payments"), "order_payments", "undefined_payment", undefined)
@@ -98,6 +106,7 @@ RULES = (
     untranslated_categories,
     missing_geolocation,
     delivered_without_date,
+    outside_calendar,
     undefined_payments,
     zero_weight,
     duplicate_geolocation,

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bazaarlake.config import ReportParams
 from bazaarlake.operators import rollups
 from bazaarlake.plans import quality
 from bazaarlake.plans.calendar import calendar_covering
@@ -91,7 +94,31 @@ def _loaded(name: str) -> Query:
     return query
 
 
+# Reports with a switch turned: the report, and the parameters it gets.
+SWITCHED: dict[str, tuple[str, ReportParams]] = {
+    "q06_pareto_cutoff": (
+        "q06_category_pareto",
+        replace(PARAMS, pareto_cutoff_pct=50.0),
+    ),
+    "q23_recency_desc": ("q23_rfm_segments", replace(PARAMS, recency_desc=True)),
+    # A calendar that ends before the data does.
+    "dq_outside_calendar": ("outside_calendar", replace(PARAMS, calendar_to=date(1998, 1, 31))),
+}
+
+
+def _switched(name: str) -> Query:
+    build, params = SWITCHED[name]
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return comparable(_REPORTS[build](Warehouse(spark, raw_tables(spark, sf_dir), params)))
+
+    return query
+
+
+_REPORTS = {**_WAREHOUSE_QUERIES, "outside_calendar": quality.outside_calendar}
+
 REGISTRY: dict[str, Query] = {
+    **{name: _switched(name) for name in SWITCHED},
     **{name: _loaded(name) for name in LOADED},
     **{f"bronze_{name}": _landed(name) for name in SOURCES},
     "bronze_rejects": landed_rejects,
