@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import public_tokenizers
@@ -139,6 +140,71 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(scanned, ["doc_id"])
 
 
+def _either_case(words: str) -> str:
+    """Letters in either case, as classes: RE2's case folding reaches beyond ASCII."""
+    return re.sub("[a-z]", lambda letter: f"[{letter[0]}{letter[0].upper()}]", words)
+
+
+def _op7_sql() -> str:
+    """The same spans from what stands between matches, and the owners of each value."""
+    assign = (
+        f"({_either_case('password|passwd|secret|token|api_?key')})"
+        r"""[\"'']?\x20*[:=]\x20*[\"'']?([A-Za-z0-9+/_.=-]+)"""
+    )
+    kinds = [
+        ("assign", assign, 2, "length(value) >= 8"),
+        ("access", "(AKIA[A-Z0-9]+)", 1, "length(value) >= 16"),
+        ("hex", "([0-9a-f]+)", 1, "length(value) >= 32"),
+        ("token", "([A-Za-z0-9_-]+)", 1,
+         "length(value) >= 20 AND regexp_matches(value, '[A-Za-z]')"
+         " AND regexp_matches(value, '[0-9].*[0-9].*[0-9]')"),
+    ]
+    found = "\nUNION ALL\n".join(
+        f"""SELECT row, {number} AS kind_no, '{kind}' AS kind, value, begins,
+                   begins + length(matches[i]) AS ends
+            FROM (SELECT row, i, matches, values[i] AS value,
+                         list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+                         + coalesce(list_sum(list_transform(matches[1:i - 1], lambda x: length(x))), 0)
+                           AS begins
+                  FROM (SELECT *, unnest(range(1, len(matches) + 1)) AS i
+                        FROM (SELECT row, regexp_extract_all(text, '{pattern}') AS matches,
+                                     regexp_extract_all(text, '{pattern}', {group}) AS values,
+                                     string_split_regex(text, '{pattern}') AS gaps
+                              FROM docs)))
+            WHERE {kept}"""
+        for number, (kind, pattern, group, kept) in enumerate(kinds)
+    )
+    return f"""
+WITH docs AS (
+    SELECT doc_id, coalesce(text, '') AS text, coalesce(source, '') AS owner,
+           row_number() OVER () AS row
+    FROM documents),
+every_span AS ({found}),
+spans AS (
+    SELECT * FROM every_span AS s
+    WHERE kind <> 'token' OR NOT EXISTS (
+        SELECT 1 FROM every_span AS b
+        WHERE b.row = s.row AND b.kind <> 'token' AND b.begins < s.ends AND s.begins < b.ends)),
+spread AS (
+    SELECT value, COUNT(DISTINCT owner) < 3 AS live FROM spans JOIN docs USING (row) GROUP BY value),
+judged AS (
+    SELECT *, kind || ':' || begins::BIGINT || ':' || ends::BIGINT AS span
+    FROM spans JOIN spread USING (value) WHERE kind <> 'token' OR live),
+summed AS (
+    SELECT row, COUNT(*) FILTER (kind = 'assign') AS n_assign,
+           COUNT(*) FILTER (kind = 'access') AS n_access, COUNT(*) FILTER (kind = 'hex') AS n_hex,
+           string_agg(span, ',' ORDER BY begins, kind_no) FILTER (kind <> 'token') AS base,
+           string_agg(span, ',' ORDER BY begins, kind_no) AS spans,
+           COUNT(*) FILTER (live) AS n_live, COUNT(*) FILTER (NOT live) AS n_examples
+    FROM judged GROUP BY row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+       coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+       coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live,
+       coalesce(n_examples, 0) AS n_examples
+FROM docs LEFT JOIN summed USING (row)
+"""
+
+
 def op8_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     is_query = F.col("vec_id") % 100 == 0
     return top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", is_query)
@@ -184,4 +250,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
 }
 
-LLM_ORACLE: dict[str, str] = {"op1_preferences": OP1_SQL, "op6_url_rules": OP6_SQL, "op8_pivot_topk": OP8_SQL}
+LLM_ORACLE: dict[str, str] = {
+    "op1_preferences": OP1_SQL,
+    "op6_url_rules": OP6_SQL,
+    "op7_secret_scan": _op7_sql(),
+    "op8_pivot_topk": OP8_SQL,
+}
