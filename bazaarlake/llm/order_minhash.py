@@ -9,7 +9,7 @@ most a fifth of the longer text. Groups are the connected components.
 
 A sketch's bucket isn't paired up: all its texts are compared with the least one. Those
 that differ from it are a bucket of their own and go on the same way, and what is left
-after some rounds is compared completely, in blocks.
+after two rounds is compared completely, in blocks.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.llm.alignment import similar
+from bazaarlake.llm.alignment import may_be_similar, similar
 from bazaarlake.llm.common import text_slices
 from bazaarlake.llm.components import components
 from bazaarlake.session import written
@@ -32,7 +32,7 @@ from bazaarlake.session import written
 SIMILARITY = 0.8
 K = 5
 SKETCHES = 48
-ROUNDS = 3
+ROUNDS = 2
 # Texts of a bucket that are left over after the rounds and meet in one task: two parts.
 PART = 128
 
@@ -157,9 +157,13 @@ def _with_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(batch.column("a_words").to_pylist(), batch.column("b_words").to_pylist(), strict=True)
-            alike = [similar(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), similarity) for a, b in pairs]
+        for batch in text_slices(batches, "a_words"):
+            sides = (batch.column(name).to_pylist() for name in ("a_words", "b_words"))
+            pairs = [
+                (np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64))
+                for a, b in zip(*sides, strict=True)
+            ]
+            alike = similar(pairs, similarity)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a"), batch.column("b"), pa.array(alike, pa.bool_())], ["a", "b", "alike"]
             )
@@ -174,11 +178,16 @@ def _rest_links(similarity: float):
         nodes, part = pair["node"].to_numpy(), pair["part"].to_numpy()
         words = [np.frombuffer(w, np.uint64) for w in pair["words"]]
         label = np.arange(len(nodes))
-        one = pair["low"].iloc[0] == pair["high"].iloc[0]
+        possible = np.tril(may_be_similar(words, similarity), -1)
+        if pair["low"].iloc[0] != pair["high"].iloc[0]:
+            possible &= part[:, None] != part[None, :]
         found = []
+        # One text after the other, so that texts already linked need no comparison.
         for i in range(len(nodes)):
-            for j in range(i):
-                if label[i] != label[j] and (one or part[i] != part[j]) and similar(words[i], words[j], similarity):
+            others = [j for j in np.flatnonzero(possible[i]) if label[j] != label[i]]
+            alike = similar([(words[i], words[j]) for j in others], similarity)
+            for j in np.array(others, np.int64)[alike]:
+                if label[i] != label[j]:
                     label[label == label[i]] = label[j]
                     found.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)

@@ -9,10 +9,11 @@ import corpus_pipeline
 import duckdb
 import numpy as np
 import pytest
+from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from bazaarlake.llm import order_minhash, pivot_topk, projection_dedup
-from bazaarlake.llm.alignment import edits_within, similar
+from bazaarlake.llm.alignment import edits_within, may_be_similar, similar
 from bazaarlake.llm.components import components
 from bazaarlake.llm.preferences import format_pairs, swapped_answers
 from bazaarlake.llm.queries import (
@@ -25,6 +26,13 @@ from bazaarlake.llm.queries import (
 from bazaarlake.llm.url_rules import judge_urls
 
 
+def data_folder(name):
+    path = TESTDATA / name
+    if not path.exists():
+        pytest.skip("test data not present")
+    return str(path)
+
+
 def plain(rows):
     return sorted(tuple(str(value) for value in row) for row in rows)
 
@@ -130,7 +138,7 @@ def test_more_rows_take_more_passes():
 
 
 def test_op2_recall_on_whole_table(spark):
-    sf_dir = "/root/testdata/sf0.1"
+    sf_dir = data_folder("sf0.1")
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").orderBy("vec_id").collect()
     x = np.array([r.embedding for r in rows], float)
     x /= np.sqrt((x * x).sum(axis=1))[:, None]
@@ -150,17 +158,23 @@ def test_edit_distance_against_full_table():
         return row[-1]
 
     rng = random.Random(1)
-    for _ in range(600):
+    pairs, limits = [], []
+    for n in range(1200):
         values = rng.choice([2, 5, 50])
-        a = [rng.randrange(values) for _ in range(rng.randrange(40))]
+        a = [rng.randrange(values) for _ in range(rng.randrange(40 if n % 10 else 300))]
         b = [x for x in a if rng.random() > 0.1]
         for _ in range(rng.randrange(8)):
             b.insert(rng.randrange(len(b) + 1), rng.randrange(values))
-        x, y, limit = np.array(a, np.uint64), np.array(b, np.uint64), rng.randrange(20)
-        expected = distance(a, b)
-        assert edits_within(x, y, limit) == (expected if expected <= limit else None)
-        longer = max(len(a), len(b))
-        assert similar(x, y, 0.8) == (longer > 0 and expected <= longer * 0.2 + 1e-9)
+        pairs.append((np.array(a, np.uint64), np.array(b, np.uint64)))
+        limits.append(rng.randrange(40))
+    expected = [distance(a.tolist(), b.tolist()) for a, b in pairs]
+    found = edits_within(pairs, limits, [1] * len(pairs))
+    assert found == [e if e <= limit else None for e, limit in zip(expected, limits, strict=True)]
+    longer = [max(len(a), len(b)) for a, b in pairs]
+    alike = [n > 0 and e <= n * 0.2 + 1e-9 for n, e in zip(longer, expected, strict=True)]
+    assert similar(pairs, 0.8) == alike
+    possible = may_be_similar([a for a, _ in pairs[:100]] + [b for _, b in pairs[:100]], 0.8)
+    assert all(possible[n, n + 100] for n in range(100) if alike[n])
 
 
 def texts_with_copies(rng):
@@ -187,7 +201,7 @@ def test_near_duplicate_texts_against_brute_force(spark):
     code = {w: i for i, w in enumerate({w for text in words for w in text})}
     hashes = [np.array([code[w] for w in text], np.uint64) for text in words]
     pairs = [(j, i) for i in range(len(texts)) for j in range(i)
-             if min(len(hashes[i]), len(hashes[j])) and similar(hashes[i], hashes[j], 0.8)]
+             if min(len(hashes[i]), len(hashes[j])) and similar([(hashes[i], hashes[j])], 0.8)[0]]
     expected = components_of(len(texts), pairs)
     docs = spark.createDataFrame(
         [(i, t, "x", 1) for i, t in enumerate(texts)] + [(3, texts[3], "x", 1), (None, texts[5], "x", 1)],
@@ -230,7 +244,7 @@ def test_op3_on_whole_table(spark, sf_small):
     hashes = {i: np.array([code[w] for w in text], np.uint64) for i, text in words.items()}
     ids = sorted(docs)
     place = {i: n for n, i in enumerate(ids)}
-    pairs = [(place[b], place[a]) for a in ids for b in ids if b < a and similar(hashes[a], hashes[b], 0.8)]
+    pairs = [(place[b], place[a]) for a in ids for b in ids if b < a and similar([(hashes[a], hashes[b])], 0.8)[0]]
     expected = components_of(len(ids), pairs)
     rows = op3_order_minhash(spark, sf_small).collect()
     assert {r.doc_id: r.class_id for r in rows} == {i: ids[expected[n]] for n, i in enumerate(ids)}
@@ -261,7 +275,7 @@ def test_top_k_against_brute_force(spark):
 
 
 def test_op8_bounds_skip_blocks_and_lose_nothing(spark):
-    sf_dir = "/root/testdata/check_s"
+    sf_dir = data_folder("check_s")
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").orderBy("vec_id").collect()
     ids = np.array([r.vec_id for r in rows])
     x = np.floor(1024 * np.array([r.embedding for r in rows], float))

@@ -12,6 +12,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from conftest import TESTDATA
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -28,6 +29,13 @@ from bazaarlake.llm.queries import (
     op10_packing,
 )
 
+def data_folder(name):
+    path = TESTDATA / name
+    if not path.exists():
+        pytest.skip("test data not present")
+    return str(path)
+
+
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 ODD_TEXTS = [
     None,
@@ -192,7 +200,7 @@ def test_training_keeps_held_out_rows_apart(spark, documents):
 
 
 def test_op5_held_out_accuracy(spark):
-    sf_dir = "/root/testdata/sf0.01"
+    sf_dir = data_folder("sf0.01")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = op5_quality_cnn(spark, sf_dir)
     assert scored.count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
