@@ -18,6 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from bazaarlake.llm.components import components
 from bazaarlake.operators.ranking import global_row_number
@@ -25,8 +26,10 @@ from bazaarlake.session import written
 
 SIMILARITY = 0.9
 BITS = 62
-# A window is a block of so many vectors and the block before it.
+# Neighbours on each side that a vector is compared with, at least.
 WINDOW = 256
+# Vectors compared in one task, besides the window that follows them.
+BLOCK = 1024
 # Chance that no pass brings a pair of just the wanted similarity into one window.
 MISSED = 0.02
 MIN_PASSES = 8
@@ -47,89 +50,84 @@ def passes_for(rows: int, similarity: float = SIMILARITY) -> int:
     return max(MIN_PASSES, math.ceil(math.log(MISSED) / math.log(1 - together)))
 
 
-def unit_vectors(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """(id, content, unit): unit vectors in double precision as bytes, null where unusable.
+def usable_vectors(vectors: DataFrame, id_column: str, vector_column: str) -> tuple[DataFrame, str]:
+    """(id, content, data) and the number type of ``data``, a vector's components as bytes.
 
-    Null, empty and zero vectors and such with null or non-finite components are unusable.
-    ``content`` is equal for equal vectors.
+    Null, empty and zero vectors and such with null or non-finite components have null
+    content and data. ``content`` is equal for equal vectors.
     """
+    kind = vectors.schema[vector_column].dataType.elementType
+    number = "<f4" if isinstance(kind, FloatType) else "<f8"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            units = []
+            cells = []
             for row in batch.column("vector"):
                 values = row.values if row.is_valid else None
-                unit = None
+                data = None
                 if values is not None and len(values) and not values.null_count:
-                    x = values.to_numpy(zero_copy_only=False).astype(np.float64)
-                    top = np.abs(x).max()
-                    if np.isfinite(top) and top > 0:
-                        x = x / top  # no overflow in the squares
-                        unit = (x / np.sqrt(x @ x)).tobytes()
-                units.append(unit)
+                    x = values.to_numpy(zero_copy_only=False).astype(number)
+                    if np.isfinite(x).all() and x.any():
+                        data = (x + 0).tobytes()  # no negative zero, so equal vectors are equal
+                cells.append(data)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(units, pa.binary())], ["id", "unit"]
+                [batch.column("id"), pa.array(cells, pa.binary())], ["id", "data"]
             )
 
     named = vectors.select(
         F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{vector_column}`").alias("vector")
     )
-    units = named.mapInArrow(run, "id long, unit binary")
-    return units.withColumn("content", F.sha2("unit", 256))
+    usable = named.mapInArrow(run, "id long, data binary")
+    return usable.withColumn("content", F.sha2("data", 256)), number
 
 
-def _words(passes: int, seed: int):
+def unit_rows(cells: list[bytes], number: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each vector length, which cells have it, and their unit vectors in double precision."""
+    sizes = np.array([len(cell) for cell in cells])
+    for size in np.unique(sizes):
+        rows = np.flatnonzero(sizes == size)
+        x = np.frombuffer(b"".join([cells[i] for i in rows]), number).reshape(len(rows), -1)
+        x = x.astype(np.float64)
+        x /= np.abs(x).max(axis=1, keepdims=True)  # no overflow in the squares
+        yield rows, x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+
+
+def _words(passes: int, seed: int, number: str):
     """Adds the sorted-order word of every pass to each vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        directions: dict[int, np.ndarray] = {}
+        directions: dict[tuple[int, int], np.ndarray] = {}
         shifts = np.arange(BITS - 1, -1, -1, dtype=np.int64)
         for batch in batches:
-            ids, units = batch.column("rep"), batch.column("unit")
-            sizes = np.array([len(u) // 8 for u in units.to_pylist()])
-            for size in np.unique(sizes):
-                rows = pa.array(np.flatnonzero(sizes == size))
-                part = units.take(rows)
-                x = np.frombuffer(b"".join(part.to_pylist()), np.float64).reshape(-1, size)
-                for number in range(passes):
-                    if (size, number) not in directions:
-                        rng = np.random.default_rng([seed, number, size])
-                        directions[size, number] = rng.normal(size=(size, BITS))
-                    signs = (x @ directions[size, number] > 0).astype(np.int64)
+            for rows, x in unit_rows(batch.column("data").to_pylist(), number):
+                size = x.shape[1]
+                part = batch.take(pa.array(rows))
+                for turn in range(passes):
+                    if (size, turn) not in directions:
+                        rng = np.random.default_rng([seed, turn, size])
+                        directions[size, turn] = rng.normal(size=(size, BITS))
+                    signs = (x @ directions[size, turn] > 0).astype(np.int64)
+                    words = (signs << shifts).sum(axis=1)
                     yield pa.RecordBatch.from_arrays(
-                        [
-                            ids.take(rows),
-                            part,
-                            pa.array(np.full(len(x), number, np.int32)),
-                            pa.array((signs << shifts).sum(axis=1)),
-                        ],
-                        ["rep", "unit", "pass", "word"],
+                        [*part.columns, pa.array(np.full(len(x), turn, np.int32)), pa.array(words)],
+                        ["rep", "data", "pass", "word"],
                     )
 
     return run
 
 
-def _linked(left: np.ndarray, right: np.ndarray, similarity: float) -> np.ndarray:
-    return left @ right.T >= similarity
-
-
-def _by_size(units: pd.Series) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows of each vector length, and their matrix."""
-    sizes = units.map(len).to_numpy()
-    for size in np.unique(sizes):
-        rows = np.flatnonzero(sizes == size)
-        data = np.frombuffer(b"".join(units.iloc[rows]), np.float64)
-        yield rows, data.reshape(len(rows), -1)
+def _linked(x: np.ndarray, similarity: float) -> np.ndarray:
+    return x @ x.T >= similarity
 
 
-def _window_links(similarity: float):
-    """Of each window, every linked vector with the least one it reaches there."""
+def _window_links(similarity: float, number: str):
+    """Of each block, every linked vector with the least one it reaches there."""
 
     def run(window: pd.DataFrame) -> pd.DataFrame:
         ids = window["rep"].to_numpy()
         a, b = [], []
-        for rows, x in _by_size(window["unit"]):
-            linked = _linked(x, x, similarity)
+        for rows, x in unit_rows(window["data"].to_list(), number):
+            linked = _linked(x, similarity)
             label = ids[rows].copy()
             while True:
                 least = np.where(linked, label, np.iinfo(np.int64).max).min(axis=1)
@@ -145,14 +143,14 @@ def _window_links(similarity: float):
     return run
 
 
-def _part_counts(similarity: float):
+def _part_counts(similarity: float, number: str):
     """Links that members of two parts (or of one) have with each other, weighted by copies."""
 
     def run(pair: pd.DataFrame) -> pd.DataFrame:
         found = []
-        for rows, x in _by_size(pair["unit"]):
+        for rows, x in unit_rows(pair["data"].to_list(), number):
             part, weight = pair["part"].to_numpy()[rows], pair["weight"].to_numpy()[rows]
-            linked = _linked(x, x, similarity)
+            linked = _linked(x, similarity)
             np.fill_diagonal(linked, False)
             if pair["low"].iloc[0] != pair["high"].iloc[0]:
                 linked &= part[:, None] != part[None, :]
@@ -184,46 +182,50 @@ def near_duplicates(
     comparisons and c * c / PART rows of work.
     """
     name = F.col("id").alias(id_column)
-    units = written(unit_vectors(vectors, id_column, vector_column), "unit-vectors")
+    usable, number = usable_vectors(vectors, id_column, vector_column)
+    units = written(usable, "usable-vectors")
     classes = written(
-        units.where("unit IS NOT NULL")
+        units.where("data IS NOT NULL")
         .groupBy("content")
         .agg(
             F.min("id").alias("rep"),
             F.count(F.lit(1)).alias("weight"),
-            F.first("unit").alias("unit"),
+            F.first("data").alias("data"),
         ),
         "vector-classes",
     )
     passes = passes_for(classes.count(), similarity)
-    words = classes.select("rep", "unit").mapInArrow(
-        _words(passes, seed), "rep long, unit binary, pass int, word long"
+    words = classes.select("rep", "data").mapInArrow(
+        _words(passes, seed, number), "rep long, data binary, pass int, word long"
     )
     placed = global_row_number(words, "place", ["pass", "word", "rep"])
-    block = F.floor((F.col("place") - 1) / WINDOW)
-    windows = placed.select(
-        "rep", "unit", F.explode(F.array(block, block + 1)).alias("window")
+    block, inside = F.floor((F.col("place") - 1) / BLOCK), (F.col("place") - 1) % BLOCK
+    # The first vectors of a block also follow the block before it.
+    blocks = F.when(inside < WINDOW, F.array(block, block - 1)).otherwise(F.array(block))
+    links = (
+        placed.select("rep", "data", F.explode(blocks).alias("block"))
+        .groupBy("block")
+        .applyInPandas(_window_links(similarity, number), "a long, b long")
     )
-    links = windows.groupBy("window").applyInPandas(_window_links(similarity), "a long, b long")
     found = written(components(links), "vector-components")
 
-    members = found.join(classes, found.node == classes.rep).select("component", "rep", "weight", "unit")
+    members = found.join(classes, found.node == classes.rep).select("component", "rep", "weight", "data")
     sizes = found.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"))
     spread = members.join(sizes, "component").withColumn(
         "part", F.pmod(F.xxhash64("rep"), F.col("parts"))
     )
     meeting = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "component", "rep", "weight", "unit", "part",
+        "component", "rep", "weight", "data", "part",
         F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
     )
     counted = (
         meeting.groupBy("component", "low", "high")
-        .applyInPandas(_part_counts(similarity), "rep long, links long")
+        .applyInPandas(_part_counts(similarity, number), "rep long, links long")
         .groupBy("rep")
         .agg(F.sum("links").alias("links"))
     )
     judged = (
-        classes.drop("unit")
+        classes.drop("data")
         .join(found.withColumnRenamed("node", "rep"), "rep", "left")
         .join(counted, "rep", "left")
         .select(
