@@ -14,7 +14,6 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
 
 
 def plain(value):
@@ -44,13 +43,15 @@ def connect(sf_dir: str):
     import duckdb
 
     con = duckdb.connect()
-    for table in TABLES:
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    for path in sorted(Path(sf_dir).glob("*.parquet")):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
     return con
 
 
 TYPES = {
     "bigint": "BIGINT",
+    "int": "INTEGER",
+    "boolean": "BOOLEAN",
     "double": "DOUBLE",
     "string": "VARCHAR",
     "date": "DATE",
