@@ -14,6 +14,9 @@ from bazaarlake.llm.quality_cnn import classify, train
 from bazaarlake.llm.secret_scan import masked_documents
 from bazaarlake.session import scratch_path
 
+# What packing leaves in the Python workers is there while other stages run.
+REMEMBERED_CHUNKS = 250_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -35,7 +38,8 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents, laid into training windows."""
-    return pack(docs, public_tokenizers.path("word_bpe_49k.json"), ["doc_id"], with_ids=False)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return pack(docs, path, ["doc_id"], with_ids=False, remembered=REMEMBERED_CHUNKS)
 
 
 STAGES: list[tuple[str, Stage]] = [
