@@ -42,3 +42,14 @@ def components(links: DataFrame) -> DataFrame:
         labels = stage.select("node", F.col("next").alias("component"))
         if stage.where("moved").isEmpty():
             return labels
+
+
+def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` after more links (a, b) between components, a node without links being its own."""
+    more = components(links)
+    further = more.select(F.col("node").alias("component"), F.col("component").alias("least"))
+    return (
+        found.join(further, "component", "left")
+        .select("node", F.coalesce("least", "component").alias("component"))
+        .union(more.join(found, "node", "left_anti"))
+    )

@@ -7,9 +7,10 @@ same order: alike under edits, not just in content. Texts that agree in a sketch
 candidates; they are near duplicates if the words changed, by a banded alignment, are at
 most a fifth of the longer text. Groups are the connected components.
 
-A sketch's bucket isn't paired up: all its texts are compared with the least one. Those
-that differ from it are a bucket of their own and go on the same way, and what is left
-after two rounds is compared completely, in blocks.
+A sketch's bucket isn't paired up at first: its texts are compared with the least one.
+A bucket whose texts are then still in several groups is compared completely, in blocks,
+each text with all those of other groups: whether it is like the least one says nothing
+about the others. So any two texts of a bucket are compared or in one group already.
 """
 
 from __future__ import annotations
@@ -26,14 +27,14 @@ from pyspark.sql import functions as F
 
 from bazaarlake.llm.alignment import may_be_similar, similar
 from bazaarlake.llm.common import text_slices
-from bazaarlake.llm.components import components
+from bazaarlake.llm.components import components, merged
 from bazaarlake.session import written
 
 SIMILARITY = 0.8
 K = 5
 SKETCHES = 48
 ROUNDS = 2
-# Texts of a bucket that are left over after the rounds and meet in one task: two parts.
+# Texts of a bucket in several groups that meet in one task: two parts of about so many.
 PART = 128
 
 _MAX = np.iinfo(np.uint64).max
@@ -172,24 +173,25 @@ def _verified(similarity: float):
 
 
 def _rest_links(similarity: float):
-    """Links that join up the texts of two parts (or of one), each with one it is like."""
+    """Links that join up the groups of two parts' texts (or of one's), by their components."""
 
     def run(pair: pd.DataFrame) -> pd.DataFrame:
-        nodes, part = pair["node"].to_numpy(), pair["part"].to_numpy()
+        part = pair["part"].to_numpy()
         words = [np.frombuffer(w, np.uint64) for w in pair["words"]]
-        label = np.arange(len(nodes))
+        label = pair["component"].to_numpy().copy()
         possible = np.tril(may_be_similar(words, similarity), -1)
+        possible &= label[:, None] != label[None, :]
         if pair["low"].iloc[0] != pair["high"].iloc[0]:
             possible &= part[:, None] != part[None, :]
         found = []
         # One text after the other, so that texts already linked need no comparison.
-        for i in range(len(nodes)):
+        for i in range(len(words)):
             others = [j for j in np.flatnonzero(possible[i]) if label[j] != label[i]]
             alike = similar([(words[i], words[j]) for j in others], similarity)
             for j in np.array(others, np.int64)[alike]:
                 if label[i] != label[j]:
+                    found.append((min(label[i], label[j]), max(label[i], label[j])))
                     label[label == label[i]] = label[j]
-                    found.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
         return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
 
     return run
@@ -238,15 +240,17 @@ def groups(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY)
         "candidate-words",
     )
 
-    links = None
+    leaders = buckets.groupBy("sketch").agg(F.min("node").alias("a"))
+    pairs = written(
+        buckets.join(leaders, "sketch").where("node <> a").select("a", F.col("node").alias("b")).distinct(),
+        "leader-pairs",
+    )
     judged = None
-    left = buckets
-    for _ in range(ROUNDS):
-        leaders = left.groupBy("sketch").agg(F.min("node").alias("a"))
-        pairs = left.join(leaders, "sketch").where("node <> a").select("sketch", "a", F.col("node").alias("b"))
-        asked = pairs.select("a", "b").distinct()
-        if judged is not None:
-            asked = asked.join(judged.select("a", "b"), ["a", "b"], "left_anti")
+    for turn in range(ROUNDS):
+        asked = pairs if judged is None else _open(pairs, judged)
+        if turn < ROUNDS - 1:
+            # At first one leader of each text, as it mostly stands for the others.
+            asked = asked.groupBy("b").agg(F.min("a").alias("a"))
         answers = written(
             asked.join(words.select(F.col("node").alias("b"), F.col("words").alias("b_words")), "b")
             .join(words.select(F.col("node").alias("a"), F.col("words").alias("a_words")), "a")
@@ -255,39 +259,67 @@ def groups(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY)
             "verified",
         )
         judged = answers if judged is None else judged.union(answers)
-        links = judged.where("alike").select("a", "b")
-        left = written(
-            pairs.join(judged.where("NOT alike"), ["a", "b"]).select("sketch", F.col("b").alias("node")),
-            "left-over",
-        )
-        if left.isEmpty():
-            break
-    else:
-        links = links.union(_rest(left, words, similarity))
-    found = components(links)
+    found = components(judged.where("alike").select("a", "b"))
+    found = merged(found, _rest(buckets, found, words, similarity))
     return classes.select("content", "node").join(found, "node", "left").select(
         "content", F.coalesce("component", "node").alias("class_id")
     )
 
 
-def _rest(left: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """Links among all texts of each bucket, compared in blocks; one text alone has none."""
-    sizes = left.groupBy("sketch").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    spread = left.join(sizes, "sketch").select(
-        "sketch", "node", F.ceil(F.col("size") / PART).alias("parts")
+def _open(pairs: DataFrame, judged: DataFrame) -> DataFrame:
+    """The pairs not judged yet whose texts aren't like one and the same leader."""
+    like = judged.where("alike").groupBy("b").agg(F.min("a").alias("leader"))
+    return (
+        pairs.join(judged.select("a", "b"), ["a", "b"], "left_anti")
+        .join(like.select(F.col("b").alias("a"), F.col("leader").alias("of_a")), "a", "left")
+        .join(like.select("b", F.col("leader").alias("of_b")), "b", "left")
+        .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
+        .select("a", "b")
+    )
+
+
+def _rest(buckets: DataFrame, found: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """Links between components, from all texts of each bucket that holds several, in blocks.
+
+    Two texts alone have been compared, one being the leader; buckets of the same texts
+    count once, told by 128 bits of hash.
+    """
+    labelled = written(
+        buckets.join(found, "node", "left").select(
+            "sketch", "node", F.coalesce("component", "node").alias("component")
+        ),
+        "labelled-buckets",
+    )
+    sizes = (
+        labelled.groupBy("sketch")
+        .agg(
+            F.count(F.lit(1)).alias("size"),
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            F.bit_xor(F.xxhash64("node")).alias("texts"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("again"),
+        )
+        .where("size > 2 AND least <> most")
+        .groupBy("size", "texts", "again")
+        .agg(F.min("sketch").alias("sketch"))
+        .select("sketch", "size")
+    )
+    spread = labelled.join(sizes, "sketch").select(
+        "sketch", "node", "component", F.ceil(F.col("size") / PART).alias("parts")
     )
     spread = spread.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
     meeting = spread.join(words, "node").select(
-        "sketch", "node", "words", "part",
+        "sketch", "component", "words", "part",
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"),
     ).select(
-        "sketch", "node", "words", "part",
+        "sketch", "component", "words", "part",
         F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
     )
-    return (
+    return written(
         meeting.groupBy("sketch", "low", "high")
         .applyInPandas(_rest_links(similarity), "a long, b long")
-        .distinct()
+        .distinct(),
+        "links-between",
     )
 
 

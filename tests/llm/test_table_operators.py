@@ -237,6 +237,21 @@ def test_left_over_buckets_are_compared_completely(spark, monkeypatch):
     assert all(row.class_id == row.doc_id % 6 for row in rows)
 
 
+def test_chains_in_one_bucket_stay_linked(spark):
+    """y is only like x, and x is like the bucket's least text, which y differs from."""
+    rng = random.Random(4)
+    a = [f"a{n}" for n in range(100)]
+    x = [w if n >= 15 else f"x{n}" for n, w in enumerate(a)]
+    y = [w if n < 85 else f"y{n}" for n, w in enumerate(x)]
+    copies = [[*(w if rng.random() > 0.02 else "zz" for w in a), f"c{n}"] for n in range(150)]
+    other = [f"b{n}" for n in range(100)]
+    texts = [a, *copies, x, y, other]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    sketched = order_minhash.sketched_texts(docs).withColumn("sketches", F.array(F.lit(7).cast("long")))
+    found = order_minhash.groups(docs, sketched).groupBy("class_id").count().collect()
+    assert {(r.class_id, r["count"]) for r in found} == {(0, len(texts) - 1), (len(texts) - 1, 1)}
+
+
 def test_op3_on_whole_table(spark, sf_small):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
     words = {i: text.lower().split() for i, text in docs.items()}
