@@ -2,9 +2,10 @@
 
 Markup is stripped to lines, one per block element, without menus, footers, adverts and
 the like that are known by element or by name. A line weighs the characters of its text
-outside links; where a page marks its article, lines outside it weigh nothing. The
-weights are summed over a sliding window of lines: the text begins at a surge of the
-sums and ends where they dive, and the lines between are kept.
+outside links; where a page marks articles, their lines weigh a surge more and others a
+quarter. The weights are summed over a sliding window of lines: a text begins at a surge
+of the sums and ends where they dive or a marked article begins or ends, and all lines
+between are kept, whatever their links.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from pyspark.sql import DataFrame
 
 from bazaarlake.llm.common import text_slices, texts_of
 
-# Lines a window spans, and the least sum that counts as text on a page whose article
-# isn't marked.
+# Lines a window spans, and the least sum that counts as text.
 WINDOW = 3
 SURGE = 80
+# What a line outside the marked articles of a page weighs less.
+OUTSIDE = 4
 
 # Elements by what they mean for the text.
 RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "object", "svg", "math",
@@ -165,46 +167,45 @@ def lines_of(page: str) -> list[Line]:
     return lines
 
 
-def text_ranges(weights: list[int], surge: int, window: int = WINDOW) -> list[tuple[int, int]]:
-    """Ranges of lines between the dives of the window sums to nothing, that hold a surge."""
+def text_ranges(
+    weights: list[int], parts: list[int], surge: int, window: int = WINDOW
+) -> list[tuple[int, int]]:
+    """Ranges of lines between the dives of the window sums to nothing, that hold a surge.
+
+    A range also ends where the lines' ``parts`` change.
+    """
     ranges: list[tuple[int, int]] = []
     for i, weight in enumerate(weights):
         if not weight:
             continue
-        if ranges and i - ranges[-1][1] < window:
+        if ranges and i - ranges[-1][1] < window and len(set(parts[ranges[-1][1] - 1 : i + 1])) == 1:
             ranges[-1] = (ranges[-1][0], i + 1)
         else:
             ranges.append((i, i + 1))
     return [
         (start, end)
         for start, end in ranges
-        if max(sum(weights[i : i + window]) for i in range(start, end)) >= surge
+        if max(sum(weights[i : min(i + window, end)]) for i in range(start, end)) >= surge
     ]
 
 
 def main_text(page: str) -> str:
-    """The blocks of the page's article, one per line; empty if there is none."""
+    """The blocks of the page's texts, one per line; empty if there is none."""
     lines = lines_of(page)
-    mass: dict[int, int] = {}
+    marked = any(line.article for line in lines)
+    weights = []
     for line in lines:
-        mass[line.article] = mass.get(line.article, 0) + line.weight
-    marked = max((n for n in mass if n and mass[n]), key=lambda n: mass[n], default=0)
-    if marked:
-        weights = [line.weight if line.article == marked else 0 for line in lines]
-        ranges = text_ranges(weights, 1)
-    else:
-        # A list of links weighs nothing, a line of mostly links little.
-        weights = [line.weight if 3 * line.weight > len(line.text) else 0 for line in lines]
-        ranges = text_ranges(weights, SURGE) or text_ranges(weights, 1)
-        sums = [sum(weights[a:b]) for a, b in ranges]
-        ranges = [r for r, s in zip(ranges, sums, strict=True) if 4 * s >= max(sums)]
-    kept = [
-        lines[i].text
-        for start, end in ranges
-        for i in range(start, end)
-        if weights[i]
-    ]
-    return "\n".join(kept)
+        if line.article:
+            weights.append(line.weight + SURGE)
+        elif 3 * line.weight > len(line.text):
+            weights.append(line.weight // OUTSIDE if marked else line.weight)
+        else:
+            # A line of mostly links begins or ends no text.
+            weights.append(0)
+    parts = [line.article for line in lines]
+    # A page of little text has no surge.
+    ranges = text_ranges(weights, parts, SURGE) or text_ranges(weights, parts, 1)
+    return "\n".join(lines[i].text for start, end in ranges for i in range(start, end))
 
 
 def extract(pages: DataFrame, columns: list[str]) -> DataFrame:

@@ -291,6 +291,17 @@ def test_page_text(around):
     assert main_text(PAGE % (around % BODY)) == TEXT
 
 
+SAID = "Enough words of a text that goes on for a while to reach the surge of a window of lines, and more."
+
+
+def test_marks_weigh_and_sums_decide():
+    text = "".join(f"<p>{n} {SAID * 5}</p>" for n in range(4))
+    found = main_text(f"<article>A card.</article><div>{text}</div><p>Short.</p>")
+    assert found.split("\n")[0] == "A card." and found.count(SAID) == 20
+    around = f"<div>Posted by someone.</div><article><p>{SAID}</p><p>End.</p></article><div>More stories.</div>"
+    assert main_text(around) == f"{SAID}\nEnd."
+
+
 @pytest.mark.parametrize(
     "page", ["", " ", "<html></html>", "<script>x", "<!-- x", "<nav>a menu</nav>", "<p", "<a href='x"]
 )
