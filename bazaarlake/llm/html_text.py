@@ -34,8 +34,13 @@ INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data dfn del em font i img ins kbd label mark q "
     "rp rt ruby s samp small span strike strong sub sup td th time tt u var wbr".split()
 )
-# Closed by the next block, whether or not there is an end tag.
-SELF_ENDING = frozenset("p li dt dd h1 h2 h3 h4 h5 h6 option tr".split())
+# Elements without an end tag, by what closes them.
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+CLOSES = {
+    "p": frozenset(("p",)), "li": frozenset(("p", "li")), "option": frozenset(("option",)),
+    "tr": frozenset(("p", "tr")), **dict.fromkeys(("dt", "dd"), frozenset(("p", "dt", "dd"))),
+    **dict.fromkeys(HEADINGS, HEADINGS | {"p"}),
+}
 BOILERPLATE = frozenset("head nav aside footer form button menu dialog fieldset".split())
 ARTICLE = frozenset(("article", "main"))
 NAMES = frozenset(
@@ -45,8 +50,18 @@ NAMES = frozenset(
     "sidebars widget widgets related recommended sponsor sponsored sponsors promo promotion share "
     "sharing social newsletter subscribe signup login toolbar skip copyright".split()
 )
-# Names that mean boilerplate around an article, but may name a part of it inside.
+# Those that an article may hold without being part of its text: adverts and comments.
+INNER_NAMES = frozenset(
+    "ad ads adv advert adverts advertisement advertising adbox sponsor sponsored sponsors promo "
+    "comment comments commentlist disqus".split()
+)
+# More names that mean boilerplate around an article.
 OUTER_NAMES = frozenset("header footer masthead topbar".split())
+# Words beside a name that leave its meaning: a class or an id counts as a whole.
+FILLERS = frozenset(
+    "box bar list wrapper wrap container section area block left right top bottom primary secondary "
+    "main site page post posts item items link links button buttons icons inner outer has".split()
+)
 ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert dialog menu menubar".split()
 )
@@ -91,9 +106,11 @@ def _boilerplate(tag: str, attrs: str, in_article: bool) -> bool:
             if value.lower() in ROLES:
                 return True
         elif tag not in ARTICLE or not in_article:
-            names = {word.lower() for word in _NAME.findall(value)}
-            if names & NAMES or (not in_article and names & OUTER_NAMES):
-                return True
+            known = INNER_NAMES if in_article else NAMES | OUTER_NAMES
+            for token in value.split():
+                words = {word.lower() for word in _NAME.findall(token)}
+                if words & known and words <= known | FILLERS:
+                    return True
     return False
 
 
@@ -111,8 +128,8 @@ def lines_of(page: str) -> list[Line]:
         if text:
             top = stack[-1] if stack else _Open("", False, 0)
             if not top.boilerplate:
-                # A paragraph of an article may be a link, a list item that is one is a menu's.
-                counts = len(text) if top.article and top.tag != "li" else len(text) - linked
+                # A line of an article may be a link.
+                counts = len(text) if top.article else len(text) - linked
                 lines.append(Line(text, max(0, counts), top.article))
         linked = 0
 
@@ -146,7 +163,7 @@ def lines_of(page: str) -> list[Line]:
             continue
         if tag == "a":
             link += 1
-        while block and stack and stack[-1].tag in SELF_ENDING and tag in SELF_ENDING:
+        while stack and stack[-1].tag in CLOSES.get(tag, ()):
             stack.pop()
         if tag in VOID or token["attrs"].endswith("/"):
             continue

@@ -302,6 +302,22 @@ def test_marks_weigh_and_sums_decide():
     assert main_text(around) == f"{SAID}\nEnd."
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p>{0}</p><p><a href='/x'>a linked line</a></p><p>{0}</p>", "{0}\na linked line\n{0}"),
+        ("<div>{0}{0}{0}{0}{0}</div><ul><li><a>a</a><li><a>b</a><li><a>c</a></ul><div>{0}</div>", "{0}{0}{0}{0}{0}\n{0}"),
+        ("<article><p>{0}</p></article><article><p>Two.</p></article>", "{0}\nTwo."),
+        ("<article><p>{0}</p><ul><li><a href='/x'>A reference</a></li></ul></article>", "{0}\nA reference"),
+        ("<article><p>{0}</p><div id='related-work' class='alert'><p>Others.</p></div></article>", "{0}\nOthers."),
+        ("<p>{0}</p><div id='related-work'>{0}</div><div class='related-posts'>{0}</div>", "{0}\n{0}"),
+        ("<p>{0}</p><ul><li class='comment'><p>{0}</p><p>{0}</p></li></ul>", "{0}"),
+    ],
+)
+def test_texts_are_kept_whole(page, text):
+    assert main_text(page.format(SAID)) == text.format(SAID)
+
+
 @pytest.mark.parametrize(
     "page", ["", " ", "<html></html>", "<script>x", "<!-- x", "<nav>a menu</nav>", "<p", "<a href='x"]
 )
