@@ -3,7 +3,9 @@
 In each pass a vector gets a word of random hashes: the signs of its projections on
 random directions, concatenated. Similar vectors agree in many signs, so in the order
 of the words they stand close. Neighbouring windows of that order are compared exactly,
-and the verified pairs of all passes are united. Within the components found this way,
+and the verified pairs of all passes are united. Where vectors are dense, more of them
+share the start of a word than a window holds; such a run is then compared completely, as
+far as its vectors are not in one component. Within the components found this way,
 every pair is then compared, so no link between members is missing, however many they
 are; pairs are counted where they are compared and never written out.
 """
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import FloatType
 
-from bazaarlake.llm.components import components
+from bazaarlake.llm.components import components, merged
 from bazaarlake.operators.ranking import global_row_number
 from bazaarlake.session import written
 
@@ -30,21 +32,27 @@ BITS = 62
 WINDOW = 256
 # Vectors compared in one task, besides the window that follows them.
 BLOCK = 1024
-# Chance that no pass brings a pair of just the wanted similarity into one window.
+# Vectors of a run in one task: two parts of about so many.
+RUN_PART = 512
+# Chance that in no pass a pair of just the wanted similarity shares the start of its words.
 MISSED = 0.02
 MIN_PASSES = 8
 # Members of a component compared in one task: two parts of about so many.
 PART = 256
 
 
+def start_bits(rows: int) -> int:
+    """Signs at the start of a word that at most ``WINDOW`` of so many evenly spread rows share."""
+    return min(BITS, max(0, math.ceil(math.log2(max(rows, 1) / WINDOW))))
+
+
 def passes_for(rows: int, similarity: float = SIMILARITY) -> int:
     """Passes that keep the chance of missing a pair the same at every number of rows.
 
-    Two vectors agree in a sign with 1 - angle / pi, and share a window about when they
-    agree in the first log2(rows / WINDOW) signs.
+    Two vectors agree in a sign with 1 - angle / pi, wherever the others lie, and are
+    compared in a pass if they agree in the first ``start_bits`` signs.
     """
-    agree = 1 - math.acos(similarity) / math.pi
-    together = agree ** max(0.0, math.log2(max(rows, 1) / WINDOW))
+    together = (1 - math.acos(similarity) / math.pi) ** start_bits(rows)
     if together >= 1 - MISSED:
         return MIN_PASSES
     return max(MIN_PASSES, math.ceil(math.log(MISSED) / math.log(1 - together)))
@@ -143,6 +151,68 @@ def _window_links(similarity: float, number: str):
     return run
 
 
+def _run_links(similarity: float, number: str):
+    """Links that join up the components of two parts of a run (or of one)."""
+
+    def run(pair: pd.DataFrame) -> pd.DataFrame:
+        a, b = [], []
+        for rows, x in unit_rows(pair["data"].to_list(), number):
+            own = pair["component"].to_numpy()[rows]
+            linked = _linked(x, similarity) & (own[:, None] != own[None, :])
+            for i in np.flatnonzero(linked.any(axis=1)):
+                others = np.unique(own[linked[i]])
+                a.append(np.full(len(others), own[i]))
+                b.append(others)
+        empty = np.zeros(0, np.int64)
+        found = pd.DataFrame({"a": np.concatenate([empty, *a]), "b": np.concatenate([empty, *b])})
+        return found[found["a"] < found["b"]].drop_duplicates()
+
+    return run
+
+
+def _dense_links(
+    placed: DataFrame, found: DataFrame, classes: DataFrame, bits: int, similarity: float, number: str
+) -> DataFrame:
+    """Links between components, from runs of equal word starts that no window holds."""
+    starts = placed.select(
+        F.col("rep").alias("node"), "pass", F.shiftright("word", BITS - bits).alias("start")
+    )
+    labelled = written(
+        starts.join(found, "node", "left").select(
+            "node", "pass", "start", F.coalesce("component", "node").alias("component")
+        ),
+        "word-starts",
+    )
+    runs = (
+        labelled.groupBy("pass", "start")
+        .agg(
+            F.count(F.lit(1)).alias("size"),
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+        )
+        # Vectors up to a window apart in the order have met in a block.
+        .where((F.col("size") > WINDOW + 1) & (F.col("least") != F.col("most")))
+        .select("pass", "start", F.ceil(F.col("size") / RUN_PART).alias("parts"))
+    )
+    spread = labelled.join(runs, ["pass", "start"]).withColumn(
+        "part", F.pmod(F.xxhash64("node"), F.col("parts"))
+    )
+    meeting = (
+        spread.join(classes.select(F.col("rep").alias("node"), "data"), "node")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .select(
+            "pass", "start", "component", "data",
+            F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
+        )
+    )
+    return written(
+        meeting.groupBy("pass", "start", "low", "high")
+        .applyInPandas(_run_links(similarity, number), "a long, b long")
+        .distinct(),
+        "links-between",
+    )
+
+
 def _part_counts(similarity: float, number: str):
     """Links that members of two parts (or of one) have with each other, weighted by copies."""
 
@@ -177,7 +247,10 @@ def near_duplicates(
     links. Other columns are not read; an empty table gives no rows.
 
     What a pass finds depends on the random directions; ``passes_for`` sets their number
-    so that a pair is missed with a chance of ``MISSED`` at most. Every component's pairs
+    so that a pair is missed with a chance of ``MISSED`` at most, however the vectors lie.
+    A run of r vectors that share the start of a word and are not linked together takes
+    r * r / 2 comparisons; directions are not centred on the table's mean, as that chance
+    holds for the vectors' own angles only. Every component's pairs
     are compared in blocks, so a component of c different vectors takes c * c / 2
     comparisons and c * c / PART rows of work.
     """
@@ -194,7 +267,8 @@ def near_duplicates(
         ),
         "vector-classes",
     )
-    passes = passes_for(classes.count(), similarity)
+    rows = classes.count()
+    passes = passes_for(rows, similarity)
     words = classes.select("rep", "data").mapInArrow(
         _words(passes, seed, number), "rep long, data binary, pass int, word long"
     )
@@ -202,12 +276,15 @@ def near_duplicates(
     block, inside = F.floor((F.col("place") - 1) / BLOCK), (F.col("place") - 1) % BLOCK
     # The first vectors of a block also follow the block before it.
     blocks = F.when(inside < WINDOW, F.array(block, block - 1)).otherwise(F.array(block))
-    links = (
+    links = written(
         placed.select("rep", "data", F.explode(blocks).alias("block"))
         .groupBy("block")
-        .applyInPandas(_window_links(similarity, number), "a long, b long")
+        .applyInPandas(_window_links(similarity, number), "a long, b long"),
+        "window-links",
     )
-    found = written(components(links), "vector-components")
+    near = components(links)
+    dense = _dense_links(placed, near, classes, start_bits(rows), similarity, number)
+    found = written(merged(near, dense), "vector-components")
 
     members = found.join(classes, found.node == classes.rep).select("component", "rep", "weight", "data")
     sizes = found.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / PART).alias("parts"))

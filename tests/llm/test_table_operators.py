@@ -137,6 +137,23 @@ def test_more_rows_take_more_passes():
     assert passes[0] == projection_dedup.MIN_PASSES and passes == sorted(passes) and passes[-1] < 200
 
 
+def test_dense_cluster_loses_no_links(spark, monkeypatch):
+    """All vectors within a cosine of about 0.85, pairs of 0.92 among them, narrow windows."""
+    monkeypatch.setattr(projection_dedup, "WINDOW", 4)
+    monkeypatch.setattr(projection_dedup, "BLOCK", 16)
+    rng = np.random.default_rng(8)
+    size = 256
+    noise = rng.normal(size=(600, size)) * math.sqrt(0.15 / 0.85 / size)
+    vectors = np.concatenate([rng.normal(size=(1000, size)) / math.sqrt(size), np.eye(size)[0] + noise])
+    vectors = np.concatenate([vectors, vectors[1000:1100] + 0.4 * rng.normal(size=(100, size)) / math.sqrt(size)])
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    x = vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
+    links = x @ x.T >= 0.9
+    np.fill_diagonal(links, False)
+    found = projection_dedup.near_duplicates(table, "vec_id", "embedding").agg(F.sum("n_links")).first()[0]
+    assert links.sum() > 150 and found >= 0.97 * links.sum()
+
+
 def test_op2_recall_on_whole_table(spark):
     sf_dir = data_folder("sf0.1")
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").orderBy("vec_id").collect()
