@@ -7,6 +7,9 @@ same order: alike under edits, not just in content. Texts that agree in a sketch
 candidates; they are near duplicates if the words changed, by a banded alignment, are at
 most a fifth of the longer text. Groups are the connected components.
 
+Two texts that share fewer than two k-mers never meet: under about 25 words a pair may be
+near duplicates by its edits and still be missed.
+
 A sketch's bucket isn't paired up at first: its texts are compared with the least one.
 A bucket whose texts are then still in several groups is compared completely, in blocks,
 each text with all those of other groups: whether it is like the least one says nothing
