@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import re
 
 import corpus_pipeline
 import duckdb
@@ -16,6 +17,7 @@ from bazaarlake.llm import order_minhash, pivot_topk, projection_dedup
 from bazaarlake.llm.alignment import edits_within, may_be_similar, similar
 from bazaarlake.llm.components import components
 from bazaarlake.llm.preferences import format_pairs, swapped_answers
+from bazaarlake.llm.quality_cnn import score_texts, train
 from bazaarlake.llm.queries import (
     LLM_ORACLE,
     LLM_QUERIES,
@@ -376,6 +378,55 @@ def test_pipeline(spark, sf_small):
     assert all(p[1] == p[2] for p in pieces)
 
 
+def live_values(texts, owners):
+    """Secrets in each text that fewer than three owners hold, from the patterns alone."""
+    assign = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    found = []
+    for text in texts:
+        base = [(m.start(), m.end(), m[1]) for m in assign.finditer(text) if len(m[1]) >= 8]
+        base += [(m.start(), m.end(), m[0]) for m in re.finditer("AKIA[A-Z0-9]{12,}|[0-9a-f]{32,}", text)]
+        bare = [m for m in re.finditer("[A-Za-z0-9_-]{20,}", text)
+                if re.search("[A-Za-z]", m[0]) and len(re.findall("[0-9]", m[0])) >= 3
+                and not any(a < m.end() and m.start() < b for a, b, _ in base)]
+        found.append({value for *_, value in base} | {m[0] for m in bare})
+    holders = {}
+    for values, owner in zip(found, owners, strict=True):
+        for value in values:
+            holders.setdefault(value, set()).add(owner)
+    return [{value for value in values if len(holders[value]) < 3} for values in found]
+
+
+def test_stages_against_brute_force(spark, sf_small):
+    """Ids and texts that each stage keeps of its own input."""
+    stages = dict(corpus_pipeline.STAGES)
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    given = {r.doc_id: r.text for r in docs.collect()}
+    network = train(docs, spark.read.parquet(f"{sf_small}/labels.parquet"))
+    scores = score_texts(network, [text.encode() for text in given.values()])
+    good = {i: text for (i, text), score in zip(given.items(), scores, strict=True) if score >= 0.5}
+    assert {r.doc_id: r.text for r in stages["quality_classifier"](spark, docs, sf_small).collect()} == good
+
+    ids = sorted(given)
+    words = [given[i].lower().split() for i in ids]
+    code = {w: n for n, w in enumerate({w for text in words for w in text})}
+    hashes = [np.array([code[w] for w in text], np.uint64) for text in words]
+    pairs = [(b, a) for a in range(len(ids)) for b in range(a) if similar([(hashes[a], hashes[b])], 0.8)[0]]
+    firsts = {ids[n]: given[ids[n]] for n, c in enumerate(components_of(len(ids), pairs)) if n == c}
+    assert {r.doc_id: r.text for r in stages["near_dedup"](spark, docs, sf_small).collect()} == firsts
+
+    own = F.concat("text", F.lit(" token = cD4cD4cD4cD4cD4 see xY5-xY5-xY5-xY5-xY5- again"))
+    docs = docs.withColumn("text", F.when(F.col("doc_id") == ids[0], own).otherwise(F.col("text")))
+    rows = docs.collect()
+    masked = {}
+    for row, values in zip(rows, live_values([r.text for r in rows], [r.source for r in rows]), strict=True):
+        text = row.text
+        for value in sorted(values, key=lambda v: (len(v), v), reverse=True):
+            text = text.replace(value, "[SECRET]")
+        masked[row.doc_id] = text
+    assert {r.doc_id: r.text for r in stages["secret_scan"](spark, docs, sf_small).collect()} == masked
+    assert masked[ids[0]].endswith(" token = [SECRET] see [SECRET] again")
+
+
 def test_stages_take_empty_tables(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
