@@ -18,9 +18,13 @@ from bazaarlake.llm.pivot_topk import top_k
 from bazaarlake.llm.preferences import format_pairs, swapped_answers
 from bazaarlake.llm.projection_dedup import near_duplicates
 from bazaarlake.llm.quality_cnn import classify, held_out, train
+from bazaarlake.llm.token_counts import count_tokens
+from bazaarlake.llm.turn_repair import repair
 from bazaarlake.llm.url_rules import judge_urls
+from bazaarlake.llm.whitening import whiten
 
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 def op1_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,6 +241,153 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), path, ["doc_id"], with_ids=False)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversations with faults put in by the hash of each turn's name."""
+    turns = conversations.withColumns(
+        {
+            "hash": F.crc32(
+                F.concat_ws(
+                    ":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))
+                )
+            )
+            % 20,
+            "role": F.coalesce("role", F.lit(" ")),
+            "text": F.coalesce("text", F.lit(" ")),
+        }
+    )
+    copies = F.array_repeat(F.lit(0), F.when(F.col("hash") == 3, 2).otherwise(1))
+    return (
+        turns.where("hash <> 0")
+        .select(
+            "conv_id",
+            "turn",
+            F.when(F.col("hash") == 4, "user").otherwise(F.col("role")).alias("role"),
+            F.when(F.col("hash") == 1, "")
+            .when(F.col("hash") == 2, F.regexp_replace("text", "[.!?]", ""))
+            .otherwise(F.col("text"))
+            .alias("text"),
+            F.explode(copies).alias("copy"),
+        )
+        .drop("copy")
+    )
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair(damaged(conversations), conversations=conversations, edits=False)
+
+
+OP12_SQL = r"""
+WITH RECURSIVE named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':'
+                                       || coalesce(turn::VARCHAR, ' '), ''),
+                          lambda x: ascii(x)::BIGINT) AS name
+    FROM conversations),
+hashed AS (
+    SELECT *, xor(4294967295, list_reduce(
+               list_prepend(4294967295::BIGINT, name),
+               lambda crc, x: list_reduce(
+                   list_prepend(xor(crc, x), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                   lambda c, bit: xor(c >> 1, (c & 1) * 3988292384)))) % 20 AS hash
+    FROM named),
+faulty AS (
+    SELECT conv_id, turn, CASE hash WHEN 4 THEN 'user' ELSE role END AS role,
+           CASE hash WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g')
+                ELSE text END AS text,
+           unnest(range(CASE hash WHEN 3 THEN 2 ELSE 1 END)) AS copy
+    FROM hashed WHERE hash <> 0),
+placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS spot,
+           rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown
+    FROM faulty),
+judged AS (
+    SELECT *, role[1:1] AS initial,
+           lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY spot) AS initial_before,
+           CASE WHEN shown = '' THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY spot) > 1 THEN 'duplicate'
+                WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated'
+                ELSE 'sound' END AS fault
+    FROM placed),
+sizes AS (SELECT conv_id, count(*) AS n FROM judged GROUP BY conv_id),
+-- From the last turn to the first: the cheapest edits from each state, and their letters.
+-- States: at the start, after a system turn (s), after a user's (u), an assistant's (a).
+way AS (
+    SELECT conv_id, n AS spot, {'c': 0, 'l': ''} AS start, {'c': 4, 'l': 'II'} AS s,
+           {'c': 2, 'l': 'I'} AS u, {'c': 0, 'l': ''} AS a
+    FROM sizes
+    UNION ALL
+    SELECT conv_id, spot,
+           least(start, {'c': 2 + u2.c, 'l': 'I' || u2.l}), least(s, {'c': 2 + u2.c, 'l': 'I' || u2.l}), u2, a2
+    FROM (
+        SELECT *, least(u, {'c': 2 + a.c, 'l': 'I' || a.l}) AS u2,
+               least(a, {'c': 2 + u.c, 'l': 'I' || u.l}) AS a2
+        FROM (
+            SELECT conv_id, w.spot - 1 AS spot,
+                   least({'c': 3 + start.c, 'l': 'D' || start.l},
+                         {'c': CASE WHEN gone THEN 1000000 ELSE 2 + cut + u.c END, 'l': 'R' || u.l},
+                         {'c': CASE WHEN gone OR initial <> 'u' THEN 1000000 ELSE cut + u.c END, 'l': 'K' || u.l},
+                         {'c': CASE WHEN gone OR initial <> 's' THEN 1000000 ELSE cut + s.c END, 'l': 'K' || s.l}) AS start,
+                   least({'c': 3 + s.c, 'l': 'D' || s.l},
+                         {'c': CASE WHEN gone THEN 1000000 ELSE 2 + cut + u.c END, 'l': 'R' || u.l},
+                         {'c': CASE WHEN gone OR initial <> 'u' THEN 1000000 ELSE cut + u.c END, 'l': 'K' || u.l}) AS s,
+                   least({'c': 3 + u.c, 'l': 'D' || u.l},
+                         {'c': CASE WHEN gone THEN 1000000 ELSE 2 + cut + a.c END, 'l': 'R' || a.l},
+                         {'c': CASE WHEN gone OR initial <> 'a' THEN 1000000 ELSE cut + a.c END, 'l': 'K' || a.l}) AS u,
+                   least({'c': 3 + a.c, 'l': 'D' || a.l},
+                         {'c': CASE WHEN gone THEN 1000000 ELSE 2 + cut + u.c END, 'l': 'R' || u.l},
+                         {'c': CASE WHEN gone OR initial <> 'u' THEN 1000000 ELSE cut + u.c END, 'l': 'K' || u.l}) AS a
+            FROM way w JOIN (
+                SELECT conv_id AS conv, spot AS place, initial, fault IN ('blank', 'duplicate') AS gone,
+                       CASE fault WHEN 'truncated' THEN 1 ELSE 0 END AS cut
+                FROM judged) j
+              ON j.place = w.spot AND j.conv IS NOT DISTINCT FROM w.conv_id))),
+best AS (SELECT conv_id, start.c AS cost, start.l AS audit FROM way WHERE spot = 0),
+edits AS (
+    SELECT conv_id, unnest(range(1, len(audit) + 1)) AS i, audit FROM best),
+lettered AS (
+    SELECT conv_id, i, audit[i] AS letter,
+           len(replace(audit[1:i], 'I', '')) AS spot, len(replace(audit[1:i], 'D', '')) AS said
+    FROM edits),
+opened AS (
+    SELECT l.conv_id, 1 AS system
+    FROM lettered l JOIN judged j ON j.conv_id IS NOT DISTINCT FROM l.conv_id AND j.spot = l.spot
+    WHERE l.said = 1 AND letter = 'K' AND initial = 's'),
+repaired AS (
+    SELECT l.conv_id, string_agg(
+        CASE WHEN letter = 'K' THEN role
+             WHEN (said - coalesce(system, 0)) % 2 = 1 THEN 'user' ELSE 'assistant' END
+        || ':' || CASE letter WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY i) AS lines
+    FROM lettered l
+    LEFT JOIN opened o ON o.conv_id IS NOT DISTINCT FROM l.conv_id
+    LEFT JOIN judged j ON j.conv_id IS NOT DISTINCT FROM l.conv_id AND j.spot = l.spot
+    WHERE letter <> 'D' GROUP BY l.conv_id),
+counted AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+           count(*) FILTER (fault = 'truncated') AS truncated,
+           count(*) FILTER (initial_before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+       coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counted n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON b.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN repaired r ON r.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path(BYTE_BPE)
+    return count_tokens(table(spark, sf_dir, "documents"), path, ["doc_id"])
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_preferences": op1_preferences,
     "op2_projection_dedup": op2_projection_dedup,
@@ -248,6 +399,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pivot_topk": op8_pivot_topk,
     "op9_html_text": op9_html_text,
     "op10_packing": op10_packing,
+    "op11_whitening": op11_whitening,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_token_counts": op13_token_counts,
 }
 
 LLM_ORACLE: dict[str, str] = {
@@ -255,4 +409,5 @@ LLM_ORACLE: dict[str, str] = {
     "op6_url_rules": OP6_SQL,
     "op7_secret_scan": _op7_sql(),
     "op8_pivot_topk": OP8_SQL,
+    "op12_turn_repair": OP12_SQL,
 }
