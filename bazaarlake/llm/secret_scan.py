@@ -2,13 +2,15 @@
 
 Three base patterns find assignments, access keys and long hexadecimal strings. Every
 value found is a candidate. Corpus-wide, candidates are counted by distinct owners and
-repositories: a value many owners hold is a copied example, one that a single owner or
-two hold looks live. The count also decides over bare tokens, which no keyword
-introduces: they are added as spans of their own only if they look live.
+repositories: a value that many owners hold in many repositories is a copied example, one
+of a single owner or two, or of a single shared repository or two, looks live. The counts
+also decide over bare tokens, which no keyword introduces: they are added as spans of
+their own only if they look live.
 """
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -29,8 +31,9 @@ BASE_KINDS = {
 BARE_KIND = "token"
 BARE_TOKEN = r"([A-Za-z0-9_-]{20,})"
 KINDS = [*BASE_KINDS, BARE_KIND]
-# A value that so many distinct owners hold is a copied example.
+# A value that so many distinct owners hold, in so many repositories, is a copied example.
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 3
 # Prefix sums run over blocks of so many matches.
 _BLOCK = 256
 
@@ -44,15 +47,23 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def _running_totals(steps: Column) -> Column:
-    """What stands before each step, summed.
+def _greatest(values: Column) -> Column:
+    return F.coalesce(F.array_max(values), F.lit(0).cast("long"))
 
-    Sums over whole blocks come first, so n steps take n * 256 + (n / 256) squared
+
+def _running(
+    steps: Column,
+    fold: Callable[[Column], Column] = _total,
+    join: Callable[[Column, Column], Column] = operator.add,
+) -> Column:
+    """What stands before each step, folded: summed, unless said otherwise.
+
+    Whole blocks are folded first, so n steps take n * 256 + (n / 256) squared
     additions and not n squared.
     """
 
     def totals(blocks: Column, steps: Column) -> Column:
-        offsets = F.transform(blocks, lambda _, b: _total(F.slice(blocks, F.lit(1), b)))
+        offsets = F.transform(blocks, lambda _, b: fold(F.slice(blocks, F.lit(1), b)))
         parts = F.transform(
             F.sequence(F.lit(0), F.size(blocks) - 1),
             lambda b: F.slice(steps, b * _BLOCK + 1, F.lit(_BLOCK)),
@@ -62,7 +73,7 @@ def _running_totals(steps: Column) -> Column:
             lambda x: _let(
                 x["part"],
                 lambda part: F.transform(
-                    part, lambda _, i: x["offset"] + _total(F.slice(part, F.lit(1), i))
+                    part, lambda _, i: join(x["offset"], fold(F.slice(part, F.lit(1), i)))
                 ),
             ),
         )
@@ -71,7 +82,7 @@ def _running_totals(steps: Column) -> Column:
     def blocks_of(steps: Column) -> Column:
         blocks = F.transform(
             F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / _BLOCK).cast("int")),
-            lambda b: _total(F.slice(steps, b * _BLOCK + 1, F.lit(_BLOCK))),
+            lambda b: fold(F.slice(steps, b * _BLOCK + 1, F.lit(_BLOCK))),
         )
         return _let(blocks, lambda found: totals(found, steps))
 
@@ -89,7 +100,7 @@ def find_spans(text: Column, pattern: str, group: int, least: int, kind: str) ->
     def spans(lengths: Column, gaps: Column) -> Column:
         steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(lengths)), lengths, lambda g, n: g + n)
         found = F.arrays_zip(
-            _running_totals(steps).alias("sum"),
+            _running(steps).alias("sum"),
             F.slice(gaps, F.lit(1), F.size(lengths)).alias("gap"),
             lengths.alias("length"),
             F.regexp_extract_all(text, regex, F.lit(group)).alias("value"),
@@ -184,20 +195,25 @@ def scan(
     owner_column: str = "source",
     repository_column: str = "source",
     example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES,
     keep_text: bool = False,
 ) -> DataFrame:
     """Spans of secrets in every text of ``docs``, beside ``columns``.
 
-    ``spans`` holds (start, kind_no, end, value, owners, live) by start, then kind, in
-    code points with the end exclusive; ``base`` of them come from the base patterns, and
-    a bare token is among them only if it is live, that is held by fewer than
-    ``example_owners`` owners. A null text counts as empty: no spans. Repeated rows each
-    get their spans, and count once per owner and repository. Columns not named are not
-    read; extra columns keep their names. An empty table gives no rows.
+    ``spans`` holds (start, kind_no, end, value, owners, repositories, live) by start, then
+    kind, in code points with the end exclusive; ``base`` of them come from the base
+    patterns, and a bare token is among them only if it is live, that is held by fewer than
+    ``example_owners`` owners or in fewer than ``example_repositories`` repositories. A null
+    text counts as empty: no spans. Repeated rows each get their spans, and count once per
+    owner and repository. Columns not named are not read; ``columns`` named like a result
+    are refused. An empty table gives no rows.
 
     The patterns run once: what they find is written to the shared folder, when this is
     called, and only texts with a candidate are joined with the counts.
     """
+    clash = {name.lower() for name in columns} & {"base", "spans", *(["text"] if keep_text else [])}
+    if clash:
+        raise ValueError(f"columns named like results: {sorted(clash)}")
     text = F.coalesce(F.col("_text"), F.lit(""))
     named = docs.select(
         *[F.col(f"`{name}`").alias(f"_c{i}") for i, name in enumerate(columns)],
@@ -209,21 +225,24 @@ def scan(
     found = written(found if keep_text else found.drop("_text"), "secret-candidates")
     counts = ownership(found, F.col("_owner"), F.col("_repository"))
     found = found.drop("_owner", "_repository")
-    without = found.where("content IS NULL").withColumn(
-        "owners", F.lit(None).cast("map<string,bigint>")
-    )
-    some = found.where("content IS NOT NULL").join(counts.drop("repositories"), "content")
+    unknown = F.lit(None).cast("map<string,bigint>")
+    without = found.where("content IS NULL").withColumns({"owners": unknown, "repositories": unknown})
+    some = found.where("content IS NOT NULL").join(counts, "content")
     joined = some.unionByName(without)
 
     def judged(spans: str) -> Column:
-        def owners_of(x: Column) -> Column:
-            return F.col("owners")[F.sha2(x["value"], 256)]
+        def held(x: Column, by: str) -> Column:
+            return F.col(by)[F.sha2(x["value"], 256)].alias(by)
+
+        def few(x: Column) -> Column:
+            few_owners = held(x, "owners") < example_owners
+            return few_owners | (held(x, "repositories") < example_repositories)
 
         return F.transform(
             spans,
             lambda x: F.struct(
                 x["start"], x["kind_no"], x["end"], x["value"],
-                owners_of(x).alias("owners"), (owners_of(x) < example_owners).alias("live"),
+                held(x, "owners"), held(x, "repositories"), few(x).alias("live"),
             ),
         )
 
@@ -257,23 +276,39 @@ def digest(scanned: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def mask(scanned: DataFrame, columns: list[str], placeholder: str = "[SECRET]") -> DataFrame:
-    """``columns`` and the text with every live-looking value replaced.
+    """``columns`` and the text with every live-looking value replaced where it was found.
 
-    The value is what is replaced, wherever it stands in the text, not its keyword;
-    copied examples stay. Longer values go first, so one inside another leaves no rest.
+    A value is the end of its span, so its keyword stays, and so do copied examples and
+    the same characters elsewhere in the text, which no pattern took for a secret. Values
+    that overlap give one placeholder.
     """
-    values = F.array_distinct(
-        F.transform(F.filter("spans", lambda x: x["live"]), lambda x: x["value"])
-    )
-    longest_first = F.reverse(
-        F.array_sort(F.transform(values, lambda v: F.struct(F.length(v), v.alias("value"))))
-    )
-    masked = F.aggregate(
-        longest_first,
-        F.col("text"),
-        lambda text, v: F.replace(text, v["value"], F.lit(placeholder)),
+    live = F.filter("spans", lambda x: x["live"])
+    places = F.array_sort(
+        F.transform(
+            live,
+            lambda x: F.struct((x["end"] - F.length(x["value"])).alias("start"), x["end"].alias("end")),
+        )
     )
-    return scanned.select(*columns, masked.alias("text"))
+
+    def masked(places: Column) -> Column:
+        ends = F.transform(places, lambda x: x["end"])
+        # Up to where the places before reach; what lies within that is masked already.
+        reached = F.zip_with(
+            places,
+            _running(ends, _greatest, F.greatest),
+            lambda x, before: F.struct(x["start"].alias("start"), before.alias("before")),
+        )
+        parts = F.transform(
+            F.filter(reached, lambda x: x["start"] >= x["before"]),
+            lambda x: F.concat(_part(x["before"], x["start"]), F.lit(placeholder)),
+        )
+        return F.concat(F.array_join(parts, ""), _part(F.array_max(ends), F.length("text")))
+
+    def _part(start: Column, end: Column) -> Column:
+        return F.substring(F.col("text"), (start + 1).cast("int"), (end - start).cast("int"))
+
+    text = F.when(F.size(live) == 0, F.col("text")).otherwise(_let(places, masked))
+    return scanned.select(*columns, text.alias("text"))
 
 
 def masked_documents(docs: DataFrame, owner_column: str = "source") -> DataFrame:

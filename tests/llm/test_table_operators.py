@@ -378,22 +378,33 @@ def test_pipeline(spark, sf_small):
     assert all(p[1] == p[2] for p in pieces)
 
 
-def live_values(texts, owners):
-    """Secrets in each text that fewer than three owners hold, from the patterns alone."""
+def live_places(texts, owners):
+    """Where values that fewer than three owners hold stand in each text, from the patterns alone."""
     assign = re.compile(r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
     found = []
     for text in texts:
         base = [(m.start(), m.end(), m[1]) for m in assign.finditer(text) if len(m[1]) >= 8]
-        base += [(m.start(), m.end(), m[0]) for m in re.finditer("AKIA[A-Z0-9]{12,}|[0-9a-f]{32,}", text)]
+        for pattern in ("AKIA[A-Z0-9]{12,}", "[0-9a-f]{32,}"):
+            base += [(m.start(), m.end(), m[0]) for m in re.finditer(pattern, text)]
         bare = [m for m in re.finditer("[A-Za-z0-9_-]{20,}", text)
                 if re.search("[A-Za-z]", m[0]) and len(re.findall("[0-9]", m[0])) >= 3
                 and not any(a < m.end() and m.start() < b for a, b, _ in base)]
-        found.append({value for *_, value in base} | {m[0] for m in bare})
+        found.append([(end, value) for _, end, value in base] + [(m.end(), m[0]) for m in bare])
     holders = {}
-    for values, owner in zip(found, owners, strict=True):
-        for value in values:
+    for places, owner in zip(found, owners, strict=True):
+        for _, value in places:
             holders.setdefault(value, set()).add(owner)
-    return [{value for value in values if len(holders[value]) < 3} for values in found]
+    return [sorted({(end - len(v), end) for end, v in places if len(holders[v]) < 3}) for places in found]
+
+
+def mask_found(text, places):
+    """Paints characters; a place that meets painted ones widens their placeholder."""
+    opens, painted = set(), set()
+    for start, end in places:
+        if not painted & set(range(start, end)):
+            opens.add(start)
+        painted |= set(range(start, end))
+    return "".join("[SECRET]" if i in opens else "" if i in painted else c for i, c in enumerate(text))
 
 
 def test_stages_against_brute_force(spark, sf_small):
@@ -418,11 +429,8 @@ def test_stages_against_brute_force(spark, sf_small):
     docs = docs.withColumn("text", F.when(F.col("doc_id") == ids[0], own).otherwise(F.col("text")))
     rows = docs.collect()
     masked = {}
-    for row, values in zip(rows, live_values([r.text for r in rows], [r.source for r in rows]), strict=True):
-        text = row.text
-        for value in sorted(values, key=lambda v: (len(v), v), reverse=True):
-            text = text.replace(value, "[SECRET]")
-        masked[row.doc_id] = text
+    for row, places in zip(rows, live_places([r.text for r in rows], [r.source for r in rows]), strict=True):
+        masked[row.doc_id] = mask_found(row.text, places)
     assert {r.doc_id: r.text for r in stages["secret_scan"](spark, docs, sf_small).collect()} == masked
     assert masked[ids[0]].endswith(" token = [SECRET] see [SECRET] again")
 
