@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -118,6 +119,8 @@ def lines_of(page: str) -> list[Line]:
     """The page's text by blocks, in page order, without empty and boilerplate ones."""
     lines: list[Line] = []
     stack: list[_Open] = []
+    # How many of each element are open: an end tag without any looks no further.
+    opened: Counter[str] = Counter()
     parts: list[str] = []
     articles = link = linked = 0
 
@@ -139,6 +142,15 @@ def lines_of(page: str) -> list[Line]:
         if link:
             linked += len(html.unescape(text).strip())
 
+    def open_element(tag: str, boilerplate: bool, article: int) -> None:
+        stack.append(_Open(tag, boilerplate, article))
+        opened[tag] += 1
+
+    def close_element() -> str:
+        tag = stack.pop().tag
+        opened[tag] -= 1
+        return tag
+
     at = 0
     for token in _TOKEN.finditer(page):
         if token.start() > at:
@@ -156,15 +168,13 @@ def lines_of(page: str) -> list[Line]:
         if token["end"]:
             if tag == "a":
                 link = max(0, link - 1)
-            for depth in range(len(stack) - 1, -1, -1):
-                if stack[depth].tag == tag:
-                    del stack[depth:]
-                    break
+            while opened[tag] and close_element() != tag:
+                pass
             continue
         if tag == "a":
             link += 1
         while stack and stack[-1].tag in CLOSES.get(tag, ()):
-            stack.pop()
+            close_element()
         if tag in VOID or token["attrs"].endswith("/"):
             continue
         above = stack[-1] if stack else _Open("", False, 0)
@@ -174,10 +184,10 @@ def lines_of(page: str) -> list[Line]:
             articles += 1
             article = articles
         if block:
-            stack.append(_Open(tag, boilerplate, article))
+            open_element(tag, boilerplate, article)
         elif boilerplate and not above.boilerplate:
             close_line()
-            stack.append(_Open(tag, True, article))
+            open_element(tag, True, article)
     if at < len(page):
         add(page[at:])
     close_line()

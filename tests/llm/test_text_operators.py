@@ -387,3 +387,10 @@ def test_scan_refuses_columns_named_like_results(spark):
     docs = spark.createDataFrame([(1, "x", "a", 2)], "doc_id long, text string, source string, Spans int")
     with pytest.raises(ValueError, match="spans"):
         secret_scan.scan(docs, ["doc_id", "Spans"])
+
+
+def test_html_deep_nesting_with_unmatched_end_tags():
+    """Ends in seconds: an end tag without an open element does not search the open ones."""
+    words = "The harbour was rebuilt after the storm and reopened to ships in spring. " * 5
+    page = "<div>" * 30_000 + "</section></ul>" * 30_000 + f"<article><p>{words}</p></article>" + "</div>" * 30_000
+    assert main_text(page) == words.strip()
