@@ -10,10 +10,14 @@ most a fifth of the longer text. Groups are the connected components.
 Two texts that share fewer than two k-mers never meet: under about 25 words a pair may be
 near duplicates by its edits and still be missed.
 
-A sketch's bucket isn't paired up at first: its texts are compared with the least one.
-A bucket whose texts are then still in several groups is compared completely, in blocks,
-each text with all those of other groups: whether it is like the least one says nothing
-about the others. So any two texts of a bucket are compared or in one group already.
+A sketch's bucket isn't paired up: its texts are compared with the least one. Where its
+texts are then still in several groups, whether they are like the least one says nothing
+about the others. The texts of such buckets meet by their rarest words: near duplicates of
+n words differ in at most a fifth of them, so they share one of the rarest fifth and one
+more, under any order of words that is the same for all texts. Texts of like lengths and
+different groups that meet so are compared, by the first word they have in common. So any
+two near duplicates of a bucket are compared or in one group already, and thousands of texts
+that have only a passage in common don't meet, as its words are not rare ones.
 """
 
 from __future__ import annotations
@@ -21,7 +25,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
@@ -37,8 +40,13 @@ SIMILARITY = 0.8
 K = 5
 SKETCHES = 48
 ROUNDS = 2
-# Texts of a bucket in several groups that meet in one task: two parts of about so many.
-PART = 128
+# Texts of one rare word that meet in one task: two parts of about so many.
+PART = 512
+# Counters that tell rare words from frequent ones, some words to each. They decide in
+# which order words are tried and so the time it takes, not what is found.
+COUNTERS = 1 << 18
+# Pairs of a group that are compared at once; more go one text after the other.
+AT_ONCE = 64
 
 _MAX = np.iinfo(np.uint64).max
 
@@ -59,6 +67,7 @@ def _odd(count: int, seed: int) -> np.ndarray:
 _PLACES = _odd(K, 1)
 _ORDERS = _odd(SKETCHES, 2)
 _FIRST, _SECOND, _AGAIN = _odd(3, 3)
+_CLASS = _odd(1, 4)[0]
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -95,6 +104,18 @@ def kmers(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return _mix(runs[np.arange(len(of)) - begins[of] + starts[of]]), begins
 
 
+def numbered(values: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Hashes of ``values``, each with how often it occurred before in its text ``of``."""
+    key = values + _mix(of.astype(np.uint64) + np.uint64(1))
+    order = np.argsort(key, kind="stable")
+    fresh = np.ones(len(key), bool)
+    fresh[1:] = key[order][1:] != key[order][:-1]
+    at = np.arange(len(key))
+    occurrence = np.empty(len(key), np.uint64)
+    occurrence[order] = (at - np.maximum.accumulate(np.where(fresh, at, 0))).astype(np.uint64)
+    return _mix(values + occurrence * _AGAIN)
+
+
 def sketches(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """The sketches of each text with words, one row per text; texts without any have zeros."""
     runs, begins = kmers(words, bounds)
@@ -105,15 +126,7 @@ def sketches(words: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         return out
     starts, sizes = begins[some], counts[some]
     of = np.repeat(np.arange(len(some)), sizes)
-    # How often a k-mer occurred before in its text.
-    key = runs + _mix(of.astype(np.uint64) + np.uint64(1))
-    order = np.argsort(key, kind="stable")
-    fresh = np.ones(len(key), bool)
-    fresh[1:] = key[order][1:] != key[order][:-1]
-    at = np.arange(len(key))
-    occurrence = np.empty(len(key), np.uint64)
-    occurrence[order] = (at - np.maximum.accumulate(np.where(fresh, at, 0))).astype(np.uint64)
-    labelled = _mix(runs + occurrence * _AGAIN)
+    labelled = numbered(runs, of)
 
     def least(values: np.ndarray) -> np.ndarray:
         """Position of each text's least value, the first of equal ones."""
@@ -175,27 +188,140 @@ def _verified(similarity: float):
     return run
 
 
-def _rest_links(similarity: float):
-    """Links that join up the groups of two parts' texts (or of one's), by their components."""
-
-    def run(pair: pd.DataFrame) -> pd.DataFrame:
-        part = pair["part"].to_numpy()
-        words = [np.frombuffer(w, np.uint64) for w in pair["words"]]
-        label = pair["component"].to_numpy().copy()
-        possible = np.tril(may_be_similar(words, similarity), -1)
-        possible &= label[:, None] != label[None, :]
-        if pair["low"].iloc[0] != pair["high"].iloc[0]:
-            possible &= part[:, None] != part[None, :]
-        found = []
-        # One text after the other, so that texts already linked need no comparison.
-        for i in range(len(words)):
-            others = [j for j in np.flatnonzero(possible[i]) if label[j] != label[i]]
-            alike = similar([(words[i], words[j]) for j in others], similarity)
-            for j in np.array(others, np.int64)[alike]:
-                if label[i] != label[j]:
-                    found.append((min(label[i], label[j]), max(label[i], label[j])))
-                    label[label == label[i]] = label[j]
-        return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+def _texts(batch: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """The word hashes of each row, all its labelled words, and which row each is of."""
+    words = [np.frombuffer(cell, np.uint64) for cell in batch.column("words").to_pylist()]
+    of = np.repeat(np.arange(len(words)), [len(w) for w in words])
+    return words, numbered(np.concatenate([np.zeros(0, np.uint64), *words]), of), of
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    totals = np.zeros(COUNTERS, np.int64)
+    for batch in text_slices(batches, "words"):
+        _, labelled, _ = _texts(batch)
+        totals += np.bincount((labelled % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+    some = np.flatnonzero(totals)
+    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(totals[some])], ["counter", "words"])
+
+
+def rare_keys(
+    labelled: np.ndarray, of: np.ndarray, sizes: np.ndarray, counts: np.ndarray, similarity: float
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys by which similar texts meet, whose text each is, and if it is of the text's own length class.
+
+    A key is one of the rarest words and a class of lengths. Similar texts are in one class
+    or in adjacent ones, so each text has the keys of its own and of the next longer class.
+    """
+    order = np.lexsort((labelled, counts[(labelled % np.uint64(COUNTERS)).astype(np.int64)], of))
+    starts = np.cumsum(sizes) - sizes
+    rank = np.arange(len(of)) - starts[of]
+    kept = rank <= np.floor((1 - similarity) * sizes + 1e-9)[of]
+    words, owner = labelled[order][kept], of[kept]
+    # A little wider than the similarity, so that rounding never puts a class between two texts.
+    classes = (np.log(np.maximum(sizes, 1)) / -np.log(similarity - 1e-6)).astype(np.uint64)[owner]
+    keys = [_mix(words + (classes + np.uint64(step)) * _CLASS) for step in (0, 1)]
+    own = np.repeat([True, False], len(words))
+    return np.concatenate(keys), np.concatenate([owner, owner]), own
+
+
+def _rarest(similarity: float, counts: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "words"):
+            words, labelled, of = _texts(batch)
+            sizes = np.array([len(w) for w in words])
+            keys, owner, own = rare_keys(labelled, of, sizes, counts, similarity)
+            owner = pa.array(owner)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("node").take(owner), batch.column("component").take(owner),
+                    pa.array(keys.view(np.int64)), pa.array(own),
+                ],
+                ["node", "component", "key", "own"],
+            )
+
+    return run
+
+
+def _met_before(keys: list[np.ndarray], owned: list[np.ndarray], key: int) -> np.ndarray:
+    """For every two texts, whether a lesser key than ``key`` compares them.
+
+    A key compares two texts that both have it, one of them as of its own length class.
+    """
+    lesser = [row < key for row in keys]
+    sizes = [int(some.sum()) for some in lesser]
+    of = np.repeat(np.arange(len(keys)), sizes)
+    column = np.unique(np.concatenate([k[some] for k, some in zip(keys, lesser, strict=True)]), return_inverse=True)[1]
+    other = ~np.concatenate([o[some] for o, some in zip(owned, lesser, strict=True)])
+    width = int(column.max()) + 1 if len(column) else 0
+    has, foreign = np.zeros((2, len(keys), width), np.float32)
+    has[of, column] = 1
+    foreign[of[other], column[other]] = 1
+    return has @ has.T > foreign @ foreign.T
+
+
+def _links_met(similarity: float):
+    """Links between the components of texts that meet, from rows in the order of their meetings."""
+
+    def links(batch: pa.RecordBatch, begins: np.ndarray) -> Iterator[tuple[int, int]]:
+        words = [np.frombuffer(cell, np.uint64) for cell in batch.column("words").to_pylist()]
+        sizes = np.array([len(w) for w in words])
+        keys, owned = (
+            [cell.values.to_numpy(zero_copy_only=False) for cell in batch.column(name)]
+            for name in ("keys", "owned")
+        )
+        key, component, part, low, high = (
+            batch.column(name).to_numpy() for name in ("key", "component", "part", "low", "high")
+        )
+        own = batch.column("own").to_numpy(zero_copy_only=False)
+        waiting: list[tuple[int, int]] = []
+        for begin, end in zip(begins, [*begins[1:], len(words)], strict=True):
+            label = component[begin:end].copy()
+            possible = np.tril(label[:, None] != label[None, :])
+            if low[begin] != high[begin]:
+                possible &= part[begin:end, None] != part[None, begin:end]
+            possible &= own[begin:end, None] | own[None, begin:end]
+            length = sizes[begin:end]
+            least = similarity * np.maximum(length[:, None], length[None, :]) - 1e-6
+            possible &= np.minimum(length[:, None], length[None, :]) >= least
+            if not possible.any():
+                continue
+            possible &= ~_met_before(keys[begin:end], owned[begin:end], key[begin])
+            met = np.argwhere(possible)
+            if len(met) <= AT_ONCE:
+                waiting += [(begin + i, begin + j) for i, j in met]
+                continue
+            possible &= may_be_similar(words[begin:end], similarity)
+            # One text after the other, so that texts already linked need no comparison.
+            for i in np.flatnonzero(possible.any(axis=1)):
+                others = [j for j in np.flatnonzero(possible[i]) if label[j] != label[i]]
+                alike = similar([(words[begin + i], words[begin + j]) for j in others], similarity)
+                for j in np.array(others, np.int64)[alike]:
+                    if label[i] != label[j]:
+                        yield min(label[i], label[j]), max(label[i], label[j])
+                        label[label == label[i]] = label[j]
+        alike = similar([(words[i], words[j]) for i, j in waiting], similarity)
+        for (i, j), found in zip(waiting, alike, strict=True):
+            if found:
+                yield min(component[i], component[j]), max(component[i], component[j])
+
+    def linked(batch: pa.RecordBatch, begins: np.ndarray) -> pa.RecordBatch:
+        found = sorted(set(links(batch, begins)))
+        sides = [pa.array([pair[side] for pair in found], pa.int64()) for side in (0, 1)]
+        return pa.RecordBatch.from_arrays(sides, ["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the last group's rows, of which more may follow: at most two parts
+        for batch in text_slices(batches, "words"):
+            if held is not None:
+                batch = pa.concat_batches([held, batch])
+            columns = [batch.column(name).to_numpy() for name in ("key", "low", "high")]
+            changes = np.any([column[1:] != column[:-1] for column in columns], axis=0)
+            begins = np.concatenate([[0], np.flatnonzero(changes) + 1])
+            held = batch.slice(begins[-1])
+            if len(begins) > 1:
+                yield linked(batch.slice(0, begins[-1]), begins[:-1])
+        if held is not None:
+            yield linked(held, np.zeros(1, np.int64))
 
     return run
 
@@ -254,16 +380,12 @@ def groups(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY)
         if turn < ROUNDS - 1:
             # At first one leader of each text, as it mostly stands for the others.
             asked = asked.groupBy("b").agg(F.min("a").alias("a"))
-        answers = written(
-            asked.join(words.select(F.col("node").alias("b"), F.col("words").alias("b_words")), "b")
-            .join(words.select(F.col("node").alias("a"), F.col("words").alias("a_words")), "a")
-            .select("a", "b", "a_words", "b_words")
-            .mapInArrow(_verified(similarity), "a long, b long, alike boolean"),
-            "verified",
-        )
+        answers = _answers(asked, words, similarity)
         judged = answers if judged is None else judged.union(answers)
     found = components(judged.where("alike").select("a", "b"))
-    found = merged(found, _rest(buckets, found, words, similarity))
+    several = _several(buckets, found)
+    found = merged(found, _central(several, judged, words, similarity))
+    found = merged(found, _rest(_several(several.select("sketch", "node"), found), words, similarity))
     return classes.select("content", "node").join(found, "node", "left").select(
         "content", F.coalesce("component", "node").alias("class_id")
     )
@@ -281,11 +403,21 @@ def _open(pairs: DataFrame, judged: DataFrame) -> DataFrame:
     )
 
 
-def _rest(buckets: DataFrame, found: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """Links between components, from all texts of each bucket that holds several, in blocks.
+def _answers(asked: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, alike) of the pairs asked."""
+    return written(
+        asked.join(words.select(F.col("node").alias("b"), F.col("words").alias("b_words")), "b")
+        .join(words.select(F.col("node").alias("a"), F.col("words").alias("a_words")), "a")
+        .select("a", "b", "a_words", "b_words")
+        .mapInArrow(_verified(similarity), "a long, b long, alike boolean"),
+        "verified",
+    )
+
+
+def _several(buckets: DataFrame, found: DataFrame) -> DataFrame:
+    """(sketch, node, component, size) of the buckets whose texts are in several components.
 
-    Two texts alone have been compared, one being the leader; buckets of the same texts
-    count once, told by 128 bits of hash.
+    Two texts alone have been compared, one being the leader.
     """
     labelled = written(
         buckets.join(found, "node", "left").select(
@@ -293,34 +425,100 @@ def _rest(buckets: DataFrame, found: DataFrame, words: DataFrame, similarity: fl
         ),
         "labelled-buckets",
     )
-    sizes = (
+    several = (
         labelled.groupBy("sketch")
         .agg(
             F.count(F.lit(1)).alias("size"),
             F.min("component").alias("least"),
             F.max("component").alias("most"),
-            F.bit_xor(F.xxhash64("node")).alias("texts"),
-            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("again"),
         )
         .where("size > 2 AND least <> most")
-        .groupBy("size", "texts", "again")
-        .agg(F.min("sketch").alias("sketch"))
         .select("sketch", "size")
     )
-    spread = labelled.join(sizes, "sketch").select(
-        "sketch", "node", "component", F.ceil(F.col("size") / PART).alias("parts")
+    return written(labelled.join(several, "sketch"), "buckets-of-several")
+
+
+def _central(several: DataFrame, judged: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """Links of each bucket's texts with its most central one.
+
+    That is the text that meets most others in its buckets: an original, whose copies may be
+    less like one another, or the least changed copy.
+    """
+    met = several.groupBy("node").agg(F.sum("size").alias("met"))
+    row = F.struct("met", F.negate("node").alias("least"), "node", "component")
+    leaders = several.join(met, "node").groupBy("sketch").agg(F.max(row).alias("leader"))
+    asked = (
+        several.join(leaders, "sketch")
+        .where("component <> leader.component")
+        .select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b"))
+        .distinct()
+        .join(judged.select("a", "b"), ["a", "b"], "left_anti")
+    )
+    return _linked(_answers(asked, words, similarity).where("alike"), several)
+
+
+def _linked(pairs: DataFrame, several: DataFrame) -> DataFrame:
+    """Links (a, b) between the components of the texts of ``pairs``."""
+    of = several.select("node", "component").distinct()
+    return (
+        pairs.join(of.select(F.col("node").alias("a"), F.col("component").alias("of_a")), "a")
+        .join(of.select(F.col("node").alias("b"), F.col("component").alias("of_b")), "b")
+        .select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+    )
+
+
+def _rest(several: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """Links between the components of each bucket that holds several.
+
+    The texts of all such buckets meet by their rarest words, in blocks. Only ``COUNTERS``
+    counts reach the driver, and the tasks from there.
+    """
+    texts = written(several.select("node", "component").distinct().join(words, "node"), "open-texts")
+    totals = (
+        texts.select("words")
+        .mapInArrow(_counted, "counter long, words long")
+        .groupBy("counter")
+        .agg(F.sum("words").alias("words"))
+        .toPandas()
+    )
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[totals["counter"].to_numpy(np.int64)] = totals["words"]
+    keys = written(
+        texts.select("node", "component", "words").mapInArrow(
+            _rarest(similarity, counts), "node long, component long, key long, own boolean"
+        ),
+        "rare-words",
     )
-    spread = spread.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
-    meeting = spread.join(words, "node").select(
-        "sketch", "component", "words", "part",
-        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"),
+    met = (
+        keys.groupBy("key")
+        .agg(
+            F.count(F.lit(1)).alias("size"),
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            F.max("own").alias("owned"),
+        )
+        .where("least <> most AND owned")
+        .select("key", F.ceil(F.col("size") / PART).alias("parts"))
+    )
+    # At most as long as the text.
+    met_by = keys.join(met, "key").groupBy("node").agg(
+        F.collect_list(F.struct("key", "own", "parts")).alias("met")
+    )
+    spread = texts.join(met_by, "node").select(
+        "node", "component", "words",
+        F.col("met.key").alias("keys"), F.col("met.own").alias("owned"), F.explode("met").alias("by"),
     ).select(
-        "sketch", "component", "words", "part",
+        "*", "by.*", F.pmod(F.xxhash64("node"), F.col("by.parts")).alias("part"),
+    )
+    meeting = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
+        "key", "component", "words", "keys", "owned", "own", "part",
         F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
     )
+    together = ["key", "low", "high"]
     return written(
-        meeting.groupBy("sketch", "low", "high")
-        .applyInPandas(_rest_links(similarity), "a long, b long")
+        meeting.repartition(*together)
+        .sortWithinPartitions(*together)
+        .mapInArrow(_links_met(similarity), "a long, b long")
         .distinct(),
         "links-between",
     )

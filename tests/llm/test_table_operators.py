@@ -271,6 +271,49 @@ def test_chains_in_one_bucket_stay_linked(spark):
     assert {(r.class_id, r["count"]) for r in found} == {(0, len(texts) - 1), (len(texts) - 1, 1)}
 
 
+def edited(rng, words, share, vocabulary):
+    """``words`` after so large a share of random edits."""
+    out = list(words)
+    for _ in range(int(share * len(words))):
+        at = rng.randrange(len(out) + 1)
+        match rng.randrange(3):
+            case 0 if at < len(out):
+                out[at] = rng.choice(vocabulary)
+            case 1 if at < len(out):
+                del out[at]
+            case _:
+                out.insert(at, rng.choice(vocabulary))
+    return out
+
+
+@pytest.mark.parametrize("part", [3, 512])
+def test_one_bucket_of_all_texts_gives_all_groups(spark, monkeypatch, part):
+    """Texts of all lengths about the threshold, many with a passage in common, in blocks and whole."""
+    rng = random.Random(part)
+    vocabulary = [f"v{n}" for n in range(60)]
+    passage = rng.choices(vocabulary, k=40)
+    texts = []
+    for size in [1, 2, 4, 5, 6, 9, 11, 20, 24, 25, 31, 60, 75, 94, 118] * 2:
+        base = rng.choices(vocabulary, k=size)
+        texts += [base, *(edited(rng, base, share, vocabulary) for share in (0.05, 0.15, 0.19, 0.2, 0.22))]
+        texts.append(passage + rng.choices(vocabulary, k=20))
+    texts = [text for text in texts if text]
+    code = {w: i for i, w in enumerate(vocabulary)}
+    hashes = [np.array([code[w] for w in text], np.uint64) for text in texts]
+    pairs = [(j, i) for i in range(len(texts)) for j in range(i) if similar([(hashes[i], hashes[j])], 0.8)[0]]
+    expected = components_of(len(texts), pairs)
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    monkeypatch.setattr(order_minhash, "PART", part)
+    sketched_texts = order_minhash.sketched_texts
+    monkeypatch.setattr(
+        order_minhash,
+        "sketched_texts",
+        lambda docs: sketched_texts(docs).withColumn("sketches", F.array(F.lit(7).cast("long"))),
+    )
+    rows = order_minhash.near_duplicates(docs).collect()
+    assert {r.doc_id: r.class_id for r in rows} == dict(enumerate(expected))
+
+
 def test_op3_on_whole_table(spark, sf_small):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
     words = {i: text.lower().split() for i, text in docs.items()}
