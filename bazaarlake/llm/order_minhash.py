@@ -47,6 +47,8 @@ PART = 512
 COUNTERS = 1 << 18
 # Pairs of a group that are compared at once; more go one text after the other.
 AT_ONCE = 64
+# Keys of a group whose texts are told in one matrix.
+KEYS_AT_ONCE = 256
 
 _MAX = np.iinfo(np.uint64).max
 
@@ -248,15 +250,20 @@ def _met_before(keys: list[np.ndarray], owned: list[np.ndarray], key: int) -> np
     A key compares two texts that both have it, one of them as of its own length class.
     """
     lesser = [row < key for row in keys]
-    sizes = [int(some.sum()) for some in lesser]
-    of = np.repeat(np.arange(len(keys)), sizes)
-    column = np.unique(np.concatenate([k[some] for k, some in zip(keys, lesser, strict=True)]), return_inverse=True)[1]
+    of = np.repeat(np.arange(len(keys)), [int(some.sum()) for some in lesser])
+    values = np.concatenate([k[some] for k, some in zip(keys, lesser, strict=True)])
     other = ~np.concatenate([o[some] for o, some in zip(owned, lesser, strict=True)])
-    width = int(column.max()) + 1 if len(column) else 0
-    has, foreign = np.zeros((2, len(keys), width), np.float32)
-    has[of, column] = 1
-    foreign[of[other], column[other]] = 1
-    return has @ has.T > foreign @ foreign.T
+    column, times = np.unique(values, return_inverse=True, return_counts=True)[1:]
+    # Keys that a single text has compare nothing here.
+    number = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[column]
+    before = np.zeros((len(keys), len(keys)), np.float32)
+    for start in range(0, int((times > 1).sum()), KEYS_AT_ONCE):
+        some = (number >= start) & (number < start + KEYS_AT_ONCE)
+        has, foreign = np.zeros((2, len(keys), KEYS_AT_ONCE), np.float32)
+        has[of[some], number[some] - start] = 1
+        foreign[of[some & other], number[some & other] - start] = 1
+        before += has @ has.T - foreign @ foreign.T
+    return before > 0
 
 
 def _links_met(similarity: float):
