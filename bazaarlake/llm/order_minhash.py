@@ -15,9 +15,9 @@ texts are then still in several groups, whether they are like the least one says
 about the others. The texts of such buckets meet by their rarest words: near duplicates of
 n words differ in at most a fifth of them, so they share one of the rarest fifth and one
 more, under any order of words that is the same for all texts. Texts of like lengths and
-different groups that meet so are compared, by the first word they have in common. So any
-two near duplicates of a bucket are compared or in one group already, and thousands of texts
-that have only a passage in common don't meet, as its words are not rare ones.
+different groups that meet so and in a sketch are compared, by the first word they have in
+common. So any two near duplicates of a bucket are compared or in one group already, and
+thousands of texts that have only a passage in common don't meet, as its words are not rare.
 """
 
 from __future__ import annotations
@@ -490,25 +490,39 @@ def _rest(several: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     )
     counts = np.zeros(COUNTERS, np.int64)
     counts[totals["counter"].to_numpy(np.int64)] = totals["words"]
-    keys = written(
-        texts.select("node", "component", "words").mapInArrow(
+    # Dealt by key once, for both the sizes and the join with them.
+    keys = (
+        texts.select("node", "component", "words")
+        .mapInArrow(
             _rarest(similarity, counts), "node long, component long, key long, own boolean"
-        ),
-        "rare-words",
+        )
+        .repartition("key")
+    )
+    alive = keys.join(_of_several(keys, "key"), "key")
+    # Two texts of a key are candidates where they agree in a sketch as well.
+    beside = (
+        alive.join(several.select("node", "sketch"), "node")
+        .select("key", "node", "component", "own", F.xxhash64("key", "sketch").alias("both"))
+        .repartition("both")
+    )
+    agreeing = written(
+        beside.join(_of_several(beside, "both"), "both").select("key", "node", "own").distinct(),
+        "agreeing-texts",
     )
     met = (
-        keys.groupBy("key")
+        agreeing.groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("size"),
-            F.min("component").alias("least"),
-            F.max("component").alias("most"),
-            F.max("own").alias("owned"),
+            F.bit_xor(F.xxhash64("node", "own")).alias("texts"),
+            F.bit_xor(F.xxhash64("node", "own", F.lit(1))).alias("again"),
         )
-        .where("least <> most AND owned")
+        # Keys of the same texts count once, told by 128 bits of hash.
+        .groupBy("size", "texts", "again")
+        .agg(F.min("key").alias("key"))
         .select("key", F.ceil(F.col("size") / PART).alias("parts"))
     )
     # At most as long as the text.
-    met_by = keys.join(met, "key").groupBy("node").agg(
+    met_by = agreeing.join(met, "key").groupBy("node").agg(
         F.collect_list(F.struct("key", "own", "parts")).alias("met")
     )
     spread = texts.join(met_by, "node").select(
@@ -531,6 +545,20 @@ def _rest(several: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     )
 
 
+def _of_several(rows: DataFrame, key: str) -> DataFrame:
+    """The keys that texts of several components have, one as of its own length class."""
+    return (
+        rows.groupBy(key)
+        .agg(
+            F.min("component").alias("least"),
+            F.max("component").alias("most"),
+            F.max("own").alias("owned"),
+        )
+        .where("least <> most AND owned")
+        .select(key)
+    )
+
+
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: doc_id, ``class_id`` and ``kept``.
 
