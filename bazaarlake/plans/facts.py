@@ -4,6 +4,7 @@ Line-level facts join their orders on ``order_id`` with both sides freshly shuff
 the shape in which the adaptive skew join can split an order with very many lines.
 The customer key is attached on the order side (one row per order) and the narrow
 product and seller keys on the line side, before the wide order columns are added.
+Where several facts are built, ``orders_with_customers`` does the former once for all.
 """
 
 from __future__ import annotations
@@ -74,6 +75,13 @@ ORDER_COLUMNS = (
 CUSTOMER_COLUMNS = ("customer_unique_id", "customer_state", "customer_city")
 
 
+def orders_with_customers(orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
+    """Orders with what all facts take from them and from their customer, the key included."""
+    people = dim_customers.select("customer_id", "customer_key", *CUSTOMER_COLUMNS)
+    columns = ["order_id", "customer_id", "order_status", PURCHASED, DELIVERED_AT, PROMISED_AT]
+    return orders.select(*columns).join(people, "customer_id", "left")
+
+
 def fact_orders(
     orders: DataFrame,
     customers: DataFrame | None,
@@ -86,12 +94,12 @@ def fact_orders(
 
     ``valid_only`` keeps valid sales: voided orders drop at the scan and orders
     without items in the join. ``customers=None`` leaves the customer columns out, and
-    with them a shuffle by customer. Summaries whose columns a report does not use
+    with them a shuffle by customer; orders that carry them are not joined. Summaries whose columns a report does not use
     are removed by the optimizer, since they are unique by ``order_id``.
     """
     if valid_only:
         orders = orders.filter(not_voided())
-    if customers is not None:
+    if customers is not None and not {*CUSTOMER_COLUMNS} <= {*orders.columns}:
         people = customers.select("customer_id", *CUSTOMER_COLUMNS)
         orders = orders.join(people, "customer_id", "left")
     joined = (
@@ -124,13 +132,17 @@ def fact_orders(
 def _order_header(
     orders: DataFrame, customer_keys: DataFrame, calendar: DataFrame, *columns: str
 ) -> DataFrame:
-    """Order attributes of the line facts: customer key, date key and ``columns``."""
+    """Order attributes of the line facts: customer key, date key and ``columns``.
+
+    Orders that carry the key, as ``orders_with_customers`` gives them, are not joined.
+    """
+    if "customer_key" not in orders.columns:
+        orders = orders.join(customer_keys, "customer_id", "left")
     days = calendar.select(
         F.col("calendar_date").alias("_day"), F.col("date_key").alias("purchase_date_key")
     )
     return (
-        orders.join(customer_keys, "customer_id", "left")
-        .withColumn("_day", F.to_date(PURCHASED))
+        orders.withColumn("_day", F.to_date(PURCHASED))
         # Bounded: one row per day of the calendar.
         .join(F.broadcast(days), "_day", "left")
         .select("order_id", "customer_key", "purchase_date_key", *columns)

@@ -17,9 +17,10 @@ from bazaarlake.operators.ranking import add_surrogate_key
 from bazaarlake.plans import dims, facts
 from bazaarlake.plans.calendar import calendar
 from bazaarlake.plans.silver import build_silver
+from bazaarlake.session import written
 from bazaarlake.sources.csv_files import SOURCES, accepted
 from bazaarlake.sources.schemas import SILVER
-from bazaarlake.sources.tables import read_table
+from bazaarlake.sources.tables import COMPRESSION, read_table
 
 DIMENSIONS = ("dim_customers", "dim_products", "dim_sellers", "dim_date")
 FACTS = ("fact_order_items", "fact_payments", "fact_reviews", "fact_orders")
@@ -48,6 +49,7 @@ class Warehouse:
         self._silver = silver
         self._gold = dict(gold or {})
         self._built: dict[str, DataFrame] = {}
+        self._orders: DataFrame | None = None
 
     @classmethod
     def from_tables(
@@ -76,6 +78,18 @@ class Warehouse:
 
     # -- star schema -------------------------------------------------------------------
 
+    def share_orders(self) -> None:
+        """Join the orders to their customers and write them once, for all facts to come.
+
+        Worth a table where several facts are built, as in a load.
+        """
+        keyed = facts.orders_with_customers(self.silver("orders"), self.gold("dim_customers"))
+        self._orders = written(keyed, "orders-with-customers", COMPRESSION)
+
+    def _fact_headers(self) -> DataFrame:
+        """Orders for the facts: the shared ones, else the cleansed table."""
+        return self.silver("orders") if self._orders is None else self._orders
+
     def gold(self, name: str) -> DataFrame:
         """Star table ``name``, loaded or derived."""
         if name not in GOLD_TABLES:
@@ -119,7 +133,7 @@ class Warehouse:
             loaded = self._gold["fact_orders"]
             return loaded.filter(F.col("is_valid_sale") == 1) if valid_only else loaded
         return facts.fact_orders(
-            self.silver("orders"),
+            self._fact_headers(),
             self.silver("customers") if customer else None,
             self.silver("order_items"),
             self.silver("order_payments"),
@@ -133,7 +147,7 @@ class Warehouse:
     def _fact_order_items(self) -> DataFrame:
         return facts.fact_order_items(
             self.silver("order_items"),
-            self.silver("orders"),
+            self._fact_headers(),
             self.customer_keys,
             self.product_keys,
             self.seller_keys,
@@ -143,7 +157,7 @@ class Warehouse:
     def _fact_payments(self) -> DataFrame:
         return facts.fact_payments(
             self.silver("order_payments"),
-            self.silver("orders"),
+            self._fact_headers(),
             self.customer_keys,
             self.gold("dim_date"),
         )
@@ -151,7 +165,7 @@ class Warehouse:
     def _fact_reviews(self) -> DataFrame:
         return facts.fact_reviews(
             self.silver("order_reviews"),
-            self.silver("orders"),
+            self._fact_headers(),
             self.customer_keys,
             self.gold("dim_date"),
         )

@@ -70,7 +70,7 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
     Cuts lineage: what follows reads fixed files, so a lost executor re-reads them
@@ -78,5 +78,5 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)

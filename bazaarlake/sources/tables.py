@@ -9,6 +9,9 @@ from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+# Tables are written once and kept; this takes a third to a half off Spark's default.
+COMPRESSION = "zstd"
+
 
 def replace_table(
     df: DataFrame, path: str, accept: Callable[[], None] = lambda: None
@@ -21,7 +24,7 @@ def replace_table(
     spark = df.sparkSession
     fresh, old = (f"{path}-{state}-{uuid.uuid4().hex}" for state in ("new", "old"))
     try:
-        df.write.parquet(fresh)
+        df.write.parquet(fresh, compression=COMPRESSION)
         accept()
         files, (here, new, before) = _paths(spark, path, fresh, old)
         if files.exists(here) and not files.rename(here, before):

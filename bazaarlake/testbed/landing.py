@@ -27,6 +27,8 @@ BROKEN_PAYMENTS_SQL = """SELECT CASE o_orderkey % 50
     WHEN 11 THEN 'o' || CAST(o_orderkey AS STRING) || ',1,boleto,1,2.50,surplus'
     ELSE 'o' || CAST(o_orderkey AS STRING) || ',1,boleto,,2.50' END AS line
 FROM orders"""
+# Compressed files do not split: a file holds no more than one task should read.
+RECORDS_PER_FILE = 1_000_000
 
 
 def land(spark: SparkSession, sf_dir: str, name: str, path: str) -> None:
@@ -46,6 +48,8 @@ def land(spark: SparkSession, sf_dir: str, name: str, path: str) -> None:
         quoteAll=str(not own_quotes).lower(),
         nullValue="",
         timestampNTZFormat=TIMESTAMP,
+        compression="gzip",
+        maxRecordsPerFile=RECORDS_PER_FILE,
     ).csv(path)
 
 
