@@ -19,6 +19,7 @@ import zlib
 from collections import deque
 from collections.abc import Iterator
 from functools import cache
+from struct import pack as pack_numbers
 from typing import NamedTuple
 
 import numpy as np
@@ -33,6 +34,7 @@ WINDOW = 4096
 SENTENCE_CUT = 4.0
 WORD_CUT = 12.0
 INNER_CUT = 64.0  # inside a word
+CUT_COSTS = np.array([0.0, WORD_CUT, SENTENCE_CUT])
 # Boundaries between words are offered so many tokens apart.
 WORD_CUT_EVERY = 24
 # Windows decided at a time; the last one stays open until more documents are read.
@@ -45,20 +47,21 @@ SENTENCE_ENDS = ".!?…。！？"
 class Document(NamedTuple):
     row: tuple
     ids: bytes  # little-endian unsigned 32-bit
-    stops: list[tuple[int, float]]  # tokens up to a place to cut, and what the cut costs
+    stops: np.ndarray  # tokens up to a place to cut, rising, ...
+    costs: np.ndarray  # ... and what the cut costs
 
     @property
     def tokens(self) -> int:
         return len(self.ids) // 4
 
 
-class ChunkIds:
-    """Token ids of whole texts, each distinct chunk encoded once until it is forgotten."""
+class ChunkIds(dict):
+    """Token ids by chunk; each distinct chunk is encoded when met, until all are forgotten."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED_CHUNKS) -> None:
+        super().__init__()
         self.chunker = Chunker(path)
         self.remembered = remembered
-        self.known: dict = {}
         tokenizer = self.chunker.tokenizer
         vocabulary = tokenizer.get_vocab(with_added_tokens=True)
         mark = tokenizer.model.end_of_word_suffix or ""
@@ -68,25 +71,29 @@ class ChunkIds:
         for token, number in vocabulary.items():
             self.ends_word[number] = token.endswith(mark)
             self.ends_sentence[number] = token.endswith(ends)
-
-    def learn(self, chunk_lists: list[list]) -> None:
-        fresh = set().union(*chunk_lists) - self.known.keys()
-        if len(self.known) + len(fresh) > self.remembered:
-            self.known = {}
-            fresh = set().union(*chunk_lists)
-        known, pieces = self.known, {}
-        for chunk in fresh:
-            if isinstance(chunk, Special):
-                known[chunk] = np.array([chunk.token_id], "<u4").tobytes()
-            else:
-                pieces[chunk] = self.chunker.pieces(chunk)
-        tokenize = self.chunker.tokenizer.model.tokenize
-        words = {
-            word: np.array([token.id for token in tokenize(word)], "<u4").tobytes()
-            for word in {word for parts in pieces.values() for word in parts}
-        }
-        for chunk, parts in pieces.items():
-            known[chunk] = b"".join([words[part] for part in parts])
+        self._tokenize = tokenizer.model.tokenize
+        self._signs: dict[str, bytes] = {}  # words of one byte
+
+    def __missing__(self, chunk: str | Special) -> bytes:
+        if len(self) >= self.remembered:
+            self.clear()
+        if isinstance(chunk, Special):
+            ids = pack_numbers("<I", chunk.token_id)
+        else:
+            ids = b"".join([self._word(word) for word in self.chunker.pieces(chunk)])
+        self[chunk] = ids
+        return ids
+
+    def _word(self, word: str) -> bytes:
+        known = self._signs.get(word)
+        if known is None and word.isascii() and word.isalpha():
+            known = self.get(word)  # as a chunk it is this one word
+        if known is None:
+            ids = [token.id for token in self._tokenize(word)]
+            known = pack_numbers(f"<{len(ids)}I", *ids)
+            if len(word) == 1:
+                self._signs[word] = known
+        return known
 
 
 @cache
@@ -96,39 +103,43 @@ def chunk_ids(path: str, remembered: int) -> ChunkIds:
 
 
 def document(row: tuple, chunks: list, encoder: ChunkIds, end: bytes) -> Document:
-    ids = b"".join(map(encoder.known.__getitem__, chunks))
+    ids = b"".join(map(encoder.__getitem__, chunks))
     tokens = np.frombuffer(ids, "<u4")
-    stops = dict.fromkeys(_every(np.flatnonzero(encoder.ends_word[tokens]) + 1), WORD_CUT)
-    sentences = np.flatnonzero(encoder.ends_sentence[tokens]) + 1
-    stops.update(dict.fromkeys(sentences.tolist(), SENTENCE_CUT))
-    return Document(row, ids + end, sorted(stops.items()))
+    kind = np.zeros(len(tokens) + 1, np.uint8)  # of cut, by the tokens up to it
+    kind[_every(np.flatnonzero(encoder.ends_word[tokens]) + 1)] = 1
+    kind[1:][encoder.ends_sentence[tokens]] = 2
+    stops = np.flatnonzero(kind)
+    return Document(row, ids + end, stops, CUT_COSTS[kind[stops]])
 
 
-def _every(reached: np.ndarray) -> list[int]:
+def _every(reached: np.ndarray) -> np.ndarray:
     """The first word end behind every WORD_CUT_EVERY tokens."""
     if not len(reached):
-        return []
+        return reached
     goals = np.arange(WORD_CUT_EVERY, reached[-1] + 1, WORD_CUT_EVERY)
-    return reached[np.searchsorted(reached, goals)].tolist()
+    return reached[np.searchsorted(reached, goals)]
 
 
 def boundaries(docs: list[Document], window: int) -> tuple[list[int], list[float]]:
-    """Positions in the stream where a window may end, and what ending there costs."""
-    positions, costs = [0], [0.0]
+    """Positions in the stream where a window may end, and what ending there costs.
+
+    A document ends behind its last stop, so positions rise.
+    """
+    positions, costs = [np.zeros(1, np.int64)], [np.zeros(1)]
     start = 0
     for doc in docs:
-        for stop, cost in [*doc.stops, (doc.tokens, 0.0)]:
-            stop += start
-            while stop - positions[-1] > window:
-                positions.append(positions[-1] + window)
-                costs.append(INNER_CUT)
-            if stop > positions[-1]:
-                positions.append(stop)
-                costs.append(cost)
-            else:
-                costs[-1] = min(costs[-1], cost)
+        positions += [doc.stops + start, [start + doc.tokens]]
+        costs += [doc.costs, [0.0]]
         start += doc.tokens
-    return positions, costs
+    at, cost = np.concatenate(positions), np.concatenate(costs)
+    # Inside a stretch without a stop, cuts a window apart.
+    wide = np.flatnonzero(np.diff(at) > window)
+    inner = [np.arange(at[k] + window, at[k + 1], window) for k in wide]
+    if inner:
+        before = np.repeat(wide + 1, [len(cuts) for cuts in inner])
+        at = np.insert(at, before, np.concatenate(inner))
+        cost = np.insert(cost, before, INNER_CUT)
+    return at.tolist(), cost.tolist()
 
 
 def cheapest_cuts(
@@ -242,8 +253,11 @@ def pack(
         def decided(last: bool) -> pa.RecordBatch:
             nonlocal sequence, held, done
             head = held[0]
-            stops = [(n - done, cost) for n, cost in head.stops if n > done]
-            stream = [Document(head.row, head.ids[4 * done :], stops), *held[1:]]
+            left = head.stops > done
+            rest = Document(
+                head.row, head.ids[4 * done :], head.stops[left] - done, head.costs[left]
+            )
+            stream = [rest, *held[1:]]
             positions, costs = boundaries(stream, window)
             cuts = cheapest_cuts(positions, costs, window, last)
             rows = pieces(stream, cuts, sequence)
@@ -289,7 +303,6 @@ def pack(
                 ]
                 arrow = pa.schema(fields)
             lists = [encoder.chunker.chunks(text) for text in texts_of(batch.column("text"))]
-            encoder.learn(lists)
             rows = zip(*(batch.column(name).to_pylist() for name in columns), strict=True)
             waiting = sum(d.tokens for d in held) - done
             for row, chunks in zip(rows, lists, strict=True):
