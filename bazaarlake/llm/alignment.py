@@ -8,7 +8,7 @@ Pair = tuple[np.ndarray, np.ndarray]
 # Cells of the alignment table that are worked on at a time.
 CELLS = 1 << 15
 # Counts of a bin that are compared exactly.
-_LEVELS = 8
+_LEVELS = 3
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -132,7 +132,7 @@ def similar(pairs: list[Pair], similarity: float) -> list[bool]:
     return alike
 
 
-def may_be_similar(texts: list[np.ndarray], similarity: float, bins: int = 256) -> np.ndarray:
+def may_be_similar(texts: list[np.ndarray], similarity: float, bins: int = 1024) -> np.ndarray:
     """For every two texts, whether they may have enough words in common to be similar.
 
     Words are counted by a hash. Two texts share at most the smaller count of every bin;

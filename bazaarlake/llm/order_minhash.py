@@ -12,12 +12,13 @@ near duplicates by its edits and still be missed.
 
 A sketch's bucket isn't paired up: its texts are compared with the least one. Where its
 texts are then still in several groups, whether they are like the least one says nothing
-about the others. The texts of such buckets meet by their rarest words: near duplicates of
-n words differ in at most a fifth of them, so they share one of the rarest fifth and one
-more, under any order of words that is the same for all texts. Texts of like lengths and
-different groups that meet so and in a sketch are compared, by the first word they have in
-common. So any two near duplicates of a bucket are compared or in one group already, and
-thousands of texts that have only a passage in common don't meet, as its words are not rare.
+about the others. The texts of such a bucket meet in blocks, each two of them in the first
+bucket they have in common, where those of like lengths and different groups are compared.
+A bucket of thousands isn't paired up: its texts meet by their rarest words. Near duplicates
+of n words differ in at most a fifth of them, so they share one of the rarest fifth and one
+more, under any order of words that is the same for all texts. Thousands of texts that have
+only a passage in common don't meet so, as its words are not rare. So any two near
+duplicates of a bucket are compared or in one group already.
 """
 
 from __future__ import annotations
@@ -40,8 +41,10 @@ SIMILARITY = 0.8
 K = 5
 SKETCHES = 48
 ROUNDS = 2
-# Texts of one rare word that meet in one task: two parts of about so many.
+# Texts of one bucket or rare word that meet in one task: two parts of about so many.
 PART = 512
+# Parts of a bucket whose texts meet by the bucket itself, each row so many times at most.
+WHOLE_PARTS = 8
 # Counters that tell rare words from frequent ones, some words to each. They decide in
 # which order words are tried and so the time it takes, not what is found.
 COUNTERS = 1 << 18
@@ -290,19 +293,26 @@ def _links_met(similarity: float):
             length = sizes[begin:end]
             least = similarity * np.maximum(length[:, None], length[None, :]) - 1e-6
             possible &= np.minimum(length[:, None], length[None, :]) >= least
-            if not possible.any():
+            if possible.sum() > AT_ONCE:
+                possible &= may_be_similar(words[begin:end], similarity)
+            some = np.flatnonzero(possible.any(axis=0) | possible.any(axis=1))
+            if not len(some):
                 continue
-            possible &= ~_met_before(keys[begin:end], owned[begin:end], key[begin])
+            possible = possible[np.ix_(some, some)]
+            label, at = label[some], begin + some
+            possible &= ~_met_before([keys[n] for n in at], [owned[n] for n in at], key[begin])
             met = np.argwhere(possible)
             if len(met) <= AT_ONCE:
-                waiting += [(begin + i, begin + j) for i, j in met]
+                waiting += [(at[i], at[j]) for i, j in met]
                 continue
-            possible &= may_be_similar(words[begin:end], similarity)
-            # One text after the other, so that texts already linked need no comparison.
-            for i in np.flatnonzero(possible.any(axis=1)):
-                others = [j for j in np.flatnonzero(possible[i]) if label[j] != label[i]]
-                alike = similar([(words[begin + i], words[begin + j]) for j in others], similarity)
-                for j in np.array(others, np.int64)[alike]:
+            # One text after the other, so that texts already linked need no comparison: first those
+            # that meet most others, as an original does, which its copies are like.
+            possible |= possible.T
+            for i in np.argsort(-possible.sum(axis=1), kind="stable"):
+                others = np.flatnonzero(possible[i] & (label != label[i]))
+                possible[i, :] = possible[:, i] = False
+                alike = similar([(words[at[i]], words[at[j]]) for j in others], similarity)
+                for j in others[alike]:
                     if label[i] != label[j]:
                         yield min(label[i], label[j]), max(label[i], label[j])
                         label[label == label[i]] = label[j]
@@ -369,10 +379,10 @@ def groups(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY)
     words = written(
         docs.select(F.col("doc_id").cast("long").alias("node"), "text")
         .join(candidates, "node")
-        .mapInArrow(_with_words, "node long, words binary")
         # A repeated row has equal words.
         .groupBy("node")
-        .agg(F.min("words").alias("words")),
+        .agg(F.min("text").alias("text"))
+        .mapInArrow(_with_words, "node long, words binary"),
         "candidate-words",
     )
 
@@ -390,9 +400,7 @@ def groups(docs: DataFrame, sketched: DataFrame, similarity: float = SIMILARITY)
         answers = _answers(asked, words, similarity)
         judged = answers if judged is None else judged.union(answers)
     found = components(judged.where("alike").select("a", "b"))
-    several = _several(buckets, found)
-    found = merged(found, _central(several, judged, words, similarity))
-    found = merged(found, _rest(_several(several.select("sketch", "node"), found), words, similarity))
+    found = merged(found, _rest(_several(buckets, found), words, similarity))
     return classes.select("content", "node").join(found, "node", "left").select(
         "content", F.coalesce("component", "node").alias("class_id")
     )
@@ -445,68 +453,19 @@ def _several(buckets: DataFrame, found: DataFrame) -> DataFrame:
     return written(labelled.join(several, "sketch"), "buckets-of-several")
 
 
-def _central(several: DataFrame, judged: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
-    """Links of each bucket's texts with its most central one.
-
-    That is the text that meets most others in its buckets: an original, whose copies may be
-    less like one another, or the least changed copy.
-    """
-    met = several.groupBy("node").agg(F.sum("size").alias("met"))
-    row = F.struct("met", F.negate("node").alias("least"), "node", "component")
-    leaders = several.join(met, "node").groupBy("sketch").agg(F.max(row).alias("leader"))
-    asked = (
-        several.join(leaders, "sketch")
-        .where("component <> leader.component")
-        .select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b"))
-        .distinct()
-        .join(judged.select("a", "b"), ["a", "b"], "left_anti")
-    )
-    return _linked(_answers(asked, words, similarity).where("alike"), several)
-
-
-def _linked(pairs: DataFrame, several: DataFrame) -> DataFrame:
-    """Links (a, b) between the components of the texts of ``pairs``."""
-    of = several.select("node", "component").distinct()
-    return (
-        pairs.join(of.select(F.col("node").alias("a"), F.col("component").alias("of_a")), "a")
-        .join(of.select(F.col("node").alias("b"), F.col("component").alias("of_b")), "b")
-        .select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
-    )
-
-
 def _rest(several: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     """Links between the components of each bucket that holds several.
 
-    The texts of all such buckets meet by their rarest words, in blocks. Only ``COUNTERS``
-    counts reach the driver, and the tasks from there.
+    The texts of a bucket of up to ``WHOLE_PARTS`` parts meet by its sketch, in blocks. Those
+    of larger ones meet by their rarest words, so that no bucket is paired up beyond that
+    size. Only ``COUNTERS`` counts reach the driver, and the tasks from there.
     """
     texts = written(several.select("node", "component").distinct().join(words, "node"), "open-texts")
-    totals = (
-        texts.select("words")
-        .mapInArrow(_counted, "counter long, words long")
-        .groupBy("counter")
-        .agg(F.sum("words").alias("words"))
-        .toPandas()
-    )
-    counts = np.zeros(COUNTERS, np.int64)
-    counts[totals["counter"].to_numpy(np.int64)] = totals["words"]
-    # Dealt by key once, for both the sizes and the join with them.
-    keys = (
-        texts.select("node", "component", "words")
-        .mapInArrow(
-            _rarest(similarity, counts), "node long, component long, key long, own boolean"
-        )
-        .repartition("key")
-    )
-    alive = keys.join(_of_several(keys, "key"), "key")
-    # Two texts of a key are candidates where they agree in a sketch as well.
-    beside = (
-        alive.join(several.select("node", "sketch"), "node")
-        .select("key", "node", "component", "own", F.xxhash64("key", "sketch").alias("both"))
-        .repartition("both")
-    )
+    whole = F.col("size") <= WHOLE_PARTS * PART
     agreeing = written(
-        beside.join(_of_several(beside, "both"), "both").select("key", "node", "own").distinct(),
+        several.where(whole)
+        .select(F.col("sketch").alias("key"), "node", F.lit(True).alias("own"))
+        .union(_rare_meetings(several.where(~whole), texts, similarity)),
         "agreeing-texts",
     )
     met = (
@@ -545,6 +504,37 @@ def _rest(several: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
     )
 
 
+def _rare_meetings(several: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(key, node, own) of the rare words by which texts of one bucket of ``several`` meet."""
+    nodes = several.select("node").distinct()
+    texts = written(texts.join(nodes, "node"), "texts-of-large-buckets")
+    totals = (
+        texts.select("words")
+        .mapInArrow(_counted, "counter long, words long")
+        .groupBy("counter")
+        .agg(F.sum("words").alias("words"))
+        .toPandas()
+    )
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[totals["counter"].to_numpy(np.int64)] = totals["words"]
+    # Dealt by key once, for both the sizes and the join with them.
+    keys = (
+        texts.select("node", "component", "words")
+        .mapInArrow(
+            _rarest(similarity, counts), "node long, component long, key long, own boolean"
+        )
+        .repartition("key")
+    )
+    alive = keys.join(_of_several(keys, "key"), "key")
+    # Two texts of a key are candidates where they agree in a sketch as well.
+    beside = (
+        alive.join(several.select("node", "sketch"), "node")
+        .select("key", "node", "component", "own", F.xxhash64("key", "sketch").alias("both"))
+        .repartition("both")
+    )
+    return beside.join(_of_several(beside, "both"), "both").select("key", "node", "own").distinct()
+
+
 def _of_several(rows: DataFrame, key: str) -> DataFrame:
     """The keys that texts of several components have, one as of its own length class."""
     return (

@@ -314,6 +314,25 @@ def test_one_bucket_of_all_texts_gives_all_groups(spark, monkeypatch, part):
     assert {r.doc_id: r.class_id for r in rows} == dict(enumerate(expected))
 
 
+def test_open_buckets_make_no_more_rows_than_texts(spark, monkeypatch):
+    """Texts of several groups meet by their buckets, not by each bucket times each rare word."""
+    rng = random.Random(6)
+    vocabulary = [f"v{n}" for n in range(500)]
+    base = rng.choices(vocabulary, k=100)
+    texts = [edited(rng, base, 0.15, vocabulary) for _ in range(60)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows, written = {}, order_minhash.written
+
+    def counted(df, label, *more):
+        out = written(df, label, *more)
+        rows[label] = out.count()
+        return out
+
+    monkeypatch.setattr(order_minhash, "written", counted)
+    order_minhash.near_duplicates(docs).collect()
+    assert 0 < rows["agreeing-texts"] <= rows["buckets-of-several"] <= rows["buckets"]
+
+
 def test_op3_on_whole_table(spark, sf_small):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()}
     words = {i: text.lower().split() for i, text in docs.items()}
