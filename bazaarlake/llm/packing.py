@@ -19,7 +19,7 @@ import zlib
 from collections import deque
 from collections.abc import Iterator
 from functools import cache
-from struct import pack as pack_numbers
+from struct import Struct
 from typing import NamedTuple
 
 import numpy as np
@@ -42,6 +42,8 @@ SEGMENT_WINDOWS = 64
 # Distinct chunks a Python worker remembers, over its tasks, before it forgets them all.
 REMEMBERED_CHUNKS = 1_000_000
 SENTENCE_ENDS = ".!?…。！？"
+# How so many ids are written.
+_WRITERS = [Struct(f"<{count}I").pack for count in range(64)]
 
 
 class Document(NamedTuple):
@@ -78,22 +80,33 @@ class ChunkIds(dict):
         if len(self) >= self.remembered:
             self.clear()
         if isinstance(chunk, Special):
-            ids = pack_numbers("<I", chunk.token_id)
+            ids = _ids_written([chunk.token_id])
+        elif chunk.isascii() and chunk.isalpha():
+            ids = self._tokenized(chunk)  # one word
         else:
             ids = b"".join([self._word(word) for word in self.chunker.pieces(chunk)])
         self[chunk] = ids
         return ids
 
     def _word(self, word: str) -> bytes:
-        known = self._signs.get(word)
-        if known is None and word.isascii() and word.isalpha():
+        if len(word) == 1:
+            known = self._signs.get(word)
+            if known is None:
+                known = self._signs[word] = self._tokenized(word)
+            return known
+        if word.isascii() and word.isalpha():
             known = self.get(word)  # as a chunk it is this one word
-        if known is None:
-            ids = [token.id for token in self._tokenize(word)]
-            known = pack_numbers(f"<{len(ids)}I", *ids)
-            if len(word) == 1:
-                self._signs[word] = known
-        return known
+            if known is not None:
+                return known
+        return self._tokenized(word)
+
+    def _tokenized(self, word: str) -> bytes:
+        return _ids_written([token.id for token in self._tokenize(word)])
+
+
+def _ids_written(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit numbers."""
+    return _WRITERS[len(ids)](*ids) if len(ids) < len(_WRITERS) else np.array(ids, "<u4").tobytes()
 
 
 @cache
@@ -147,17 +160,20 @@ def cheapest_cuts(
 ) -> list[int]:
     """Window ends of least cost; without ``last`` the stream goes on and its end stays open."""
     best, origin = [0.0], [0]
-    queue: deque[int] = deque()
+    queue: deque[tuple[float, int, int]] = deque()  # best + position, position, boundary
+    position = positions[0]
+    value = float(position)
     for j in range(1, len(positions)):
-        value = best[j - 1] + positions[j - 1]
-        while queue and best[queue[-1]] + positions[queue[-1]] >= value:
+        while queue and queue[-1][0] >= value:
             queue.pop()
-        queue.append(j - 1)
+        queue.append((value, position, j - 1))
         position = positions[j]
-        while positions[queue[0]] < position - window:
+        least = position - window
+        while queue[0][1] < least:
             queue.popleft()
-        i = queue[0]
-        best.append(costs[j] + best[i] + window - (position - positions[i]))
+        reached, _, i = queue[0]
+        value = costs[j] + reached + window
+        best.append(value - position)
         origin.append(i)
     total = positions[-1]
     ends = (j for j in range(len(positions)) if positions[j] > total - window)

@@ -49,9 +49,11 @@ class Chunker:
         }
         self.specials = specials
         self._cut = re.compile("|".join(map(re.escape, specials))) if specials else None
+        self._begins = {content[0] for content in specials}
 
     def chunks(self, text: str) -> list[str | Special]:
-        if self._cut is None or not self._cut.search(text):
+        # Few texts hold a sign that a special token begins with.
+        if not any(sign in text for sign in self._begins) or not self._cut.search(text):
             return self._split(text)
         out: list[str | Special] = []
         end = 0

@@ -67,3 +67,16 @@ def test_boundaries_equal_a_plain_loop(window):
     docs = [document((n,), encoder.chunker.chunks(t), encoder, END) for n, t in enumerate(TEXTS)]
     assert all(isinstance(doc.stops, np.ndarray) for doc in docs)
     assert boundaries(docs, window) == plain_boundaries(docs, encoder, window)
+
+
+def test_plain_words_are_encoded_without_a_split(monkeypatch):
+    """A chunk that is one plain word goes to the model at once, with the library's ids."""
+    encoder = ChunkIds(PATH)
+    split = []
+    pieces = encoder.chunker.pieces
+    monkeypatch.setattr(encoder.chunker, "pieces", lambda chunk: split.append(chunk) or pieces(chunk))
+    text = "tion thsterly é don't ab1 end. " + "ab" * 900 + " x"
+    ids = document((1,), encoder.chunker.chunks(text), encoder, b"").ids
+    library = encoder.chunker.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ids, "<u4").tolist() == library
+    assert split == ["é", "don't", "ab1", "end."]
