@@ -24,6 +24,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -39,8 +40,10 @@ CUT_COSTS = np.array([0.0, WORD_CUT, SENTENCE_CUT])
 WORD_CUT_EVERY = 24
 # Windows decided at a time; the last one stays open until more documents are read.
 SEGMENT_WINDOWS = 64
-# Distinct chunks a Python worker remembers, over its tasks, before it forgets them all.
+# Distinct chunks and words a Python worker remembers, over its tasks, before it forgets them all.
 REMEMBERED_CHUNKS = 1_000_000
+# Bytes of text whose chunks are looked up together, each distinct one once.
+SLICE_BYTES = 8_000_000
 SENTENCE_ENDS = ".!?…。！？"
 # How so many ids are written.
 _WRITERS = [Struct(f"<{count}I").pack for count in range(64)]
@@ -74,31 +77,34 @@ class ChunkIds(dict):
             self.ends_word[number] = token.endswith(mark)
             self.ends_sentence[number] = token.endswith(ends)
         self._tokenize = tokenizer.model.tokenize
-        self._signs: dict[str, bytes] = {}  # words of one byte
+        self._specials: dict[str | Special, bytes] = {}
+        for special in self.chunker.specials.values():
+            ids = _ids_written([special.token_id])
+            self._specials |= {special: ids, special.name: ids}
+        # Words that are not plain letters, in the byte alphabet.
+        self._words: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str | Special) -> bytes:
-        if len(self) >= self.remembered:
-            self.clear()
-        if isinstance(chunk, Special):
-            ids = _ids_written([chunk.token_id])
-        elif chunk.isascii() and chunk.isalpha():
-            ids = self._tokenized(chunk)  # one word
-        else:
-            ids = b"".join([self._word(word) for word in self.chunker.pieces(chunk)])
-        self[chunk] = ids
-        return ids
+        ids = self._specials.get(chunk)
+        if ids is None:
+            if chunk.isascii() and chunk.isalpha():
+                ids = self._tokenized(chunk)  # one word
+            else:
+                ids = b"".join([self._word(word) for word in self.chunker.pieces(chunk)])
+        return self._kept(self, chunk, ids)
 
     def _word(self, word: str) -> bytes:
-        if len(word) == 1:
-            known = self._signs.get(word)
-            if known is None:
-                known = self._signs[word] = self._tokenized(word)
-            return known
         if word.isascii() and word.isalpha():
-            known = self.get(word)  # as a chunk it is this one word
-            if known is not None:
-                return known
-        return self._tokenized(word)
+            return self[word]  # as a chunk it is this one word
+        known = self._words.get(word)
+        return self._kept(self._words, word, self._tokenized(word)) if known is None else known
+
+    def _kept(self, known: dict, key: str | Special, ids: bytes) -> bytes:
+        if len(self) + len(self._words) >= self.remembered:
+            self.clear()
+            self._words.clear()
+        known[key] = ids
+        return ids
 
     def _tokenized(self, word: str) -> bytes:
         return _ids_written([token.id for token in self._tokenize(word)])
@@ -116,21 +122,43 @@ def chunk_ids(path: str, remembered: int) -> ChunkIds:
 
 
 def document(row: tuple, chunks: list, encoder: ChunkIds, end: bytes) -> Document:
-    ids = b"".join(map(encoder.__getitem__, chunks))
-    tokens = np.frombuffer(ids, "<u4")
+    named = [chunk if isinstance(chunk, str) else chunk.name for chunk in chunks]
+    lists = pa.array([named], pa.list_(pa.large_string()))
+    return documents([row], lists, encoder, end)[0]
+
+
+def documents(
+    rows: list[tuple], chunks: pa.ListArray, encoder: ChunkIds, end: bytes
+) -> list[Document]:
+    """One document per row and list of chunks; each distinct chunk is looked up once."""
+    coded = chunks.values.dictionary_encode()
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+    known = pa.array(list(map(encoder.__getitem__, distinct)), pa.large_binary())
+    lists = pa.ListArray.from_arrays(chunks.offsets, known.take(coded.indices))
+    ids = pc.binary_join(lists, pa.scalar(b"", pa.large_binary())).to_numpy(zero_copy_only=False)
+    tokens = np.frombuffer(b"".join(ids), "<u4")
+    ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
+    starts = np.concatenate([[0], ends[:-1]])
     kind = np.zeros(len(tokens) + 1, np.uint8)  # of cut, by the tokens up to it
-    kind[_every(np.flatnonzero(encoder.ends_word[tokens]) + 1)] = 1
+    kind[_every(np.flatnonzero(encoder.ends_word[tokens]) + 1, starts, ends)] = 1
     kind[1:][encoder.ends_sentence[tokens]] = 2
     stops = np.flatnonzero(kind)
-    return Document(row, ids + end, stops, CUT_COSTS[kind[stops]])
+    costs = CUT_COSTS[kind[stops]]
+    bounds = np.searchsorted(stops, [starts, ends], "right").T.tolist()
+    return [
+        Document(row, written + end, stops[first:last] - start, costs[first:last])
+        for row, written, start, (first, last) in zip(rows, ids, starts, bounds, strict=True)
+    ]
 
 
-def _every(reached: np.ndarray) -> np.ndarray:
-    """The first word end behind every WORD_CUT_EVERY tokens."""
-    if not len(reached):
-        return reached
-    goals = np.arange(WORD_CUT_EVERY, reached[-1] + 1, WORD_CUT_EVERY)
-    return reached[np.searchsorted(reached, goals)]
+def _every(reached: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The first word end behind every WORD_CUT_EVERY tokens of a document."""
+    counts = (ends - starts) // WORD_CUT_EVERY
+    before = np.cumsum(counts) - counts
+    nth = np.arange(1, counts.sum() + 1) - np.repeat(before, counts)
+    goals = np.repeat(starts, counts) + WORD_CUT_EVERY * nth
+    at = np.append(reached, ends[-1:] + 1)[np.searchsorted(reached, goals)]
+    return at[at <= np.repeat(ends, counts)]
 
 
 def boundaries(docs: list[Document], window: int) -> tuple[list[int], list[float]]:
@@ -247,8 +275,8 @@ def pack(
     and ``padded_length``. Repeated rows are separate documents; other columns are not
     read. No shuffle: each partition is packed in its order, and what does not fill its
     last window is cut into powers of two, which need no padding. An empty table gives
-    no rows. ``remembered`` chunks, about 200 bytes each, stay in a Python worker between
-    tasks; fewer save memory and cost time, the result is the same.
+    no rows. ``remembered`` chunks and words, about 200 bytes each, stay in a Python worker
+    between tasks; fewer save memory and cost time, the result is the same.
     """
     kept = docs.select(*columns, "text")
     keys = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text"]
@@ -307,7 +335,7 @@ def pack(
                     held, done = held[n:], reached
             return pa.RecordBatch.from_pydict(values, schema=arrow)
 
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", SLICE_BYTES):
             if arrow is None:
                 fields = [batch.schema.field(name) for name in columns]
                 extra = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padded_length"]
@@ -318,12 +346,12 @@ def pack(
                     for name in extra
                 ]
                 arrow = pa.schema(fields)
-            lists = [encoder.chunker.chunks(text) for text in texts_of(batch.column("text"))]
-            rows = zip(*(batch.column(name).to_pylist() for name in columns), strict=True)
+            chunks = encoder.chunker.chunk_lists(texts_of(batch.column("text")))
+            rows = list(zip(*(batch.column(name).to_pylist() for name in columns), strict=True))
             waiting = sum(d.tokens for d in held) - done
-            for row, chunks in zip(rows, lists, strict=True):
-                held.append(document(row, chunks, encoder, end))
-                waiting += held[-1].tokens
+            for doc in documents(rows, chunks, encoder, end):
+                held.append(doc)
+                waiting += doc.tokens
                 if waiting >= SEGMENT_WINDOWS * window:
                     yield decided(last=False)
                     waiting = sum(d.tokens for d in held) - done

@@ -12,6 +12,8 @@ import re
 from functools import cache
 from typing import NamedTuple
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 
@@ -21,6 +23,11 @@ class Special(NamedTuple):
     token_id: int
     content: str
 
+    @property
+    def name(self) -> str:
+        """Stands for it among chunks, which are never in upper case."""
+        return f"ID{self.token_id}"
+
 
 @cache
 def load_tokenizer(path: str) -> Tokenizer:
@@ -35,6 +42,8 @@ def load_tokenizer(path: str) -> Tokenizer:
 # Characters on which str.lower() and str.split() do what the normaliser does: ASCII
 # without the separators 0x1c-0x1f, and the composed letters of Latin-1.
 _PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
+# The words that the pre-tokenizer finds in a chunk of them.
+_PLAIN_WORDS = re.compile("'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
 
 class Chunker:
@@ -52,8 +61,7 @@ class Chunker:
         self._begins = {content[0] for content in specials}
 
     def chunks(self, text: str) -> list[str | Special]:
-        # Few texts hold a sign that a special token begins with.
-        if not any(sign in text for sign in self._begins) or not self._cut.search(text):
+        if not self._holds_special(text):
             return self._split(text)
         out: list[str | Special] = []
         end = 0
@@ -63,6 +71,20 @@ class Chunker:
             end = found.end()
         return out + self._split(text[end:])
 
+    def _holds_special(self, text: str) -> bool:
+        # Few texts hold a sign that a special token begins with.
+        return any(sign in text for sign in self._begins) and bool(self._cut.search(text))
+
+    def chunk_lists(self, texts: list[str]) -> pa.ListArray:
+        """The chunks of every text, specials by their names; an empty chunk has no words."""
+        spaced = [
+            text.lower()
+            if _PLAIN.fullmatch(text) and not self._holds_special(text)
+            else " ".join([chunk if isinstance(chunk, str) else chunk.name for chunk in self.chunks(text)])
+            for text in texts
+        ]
+        return pc.ascii_split_whitespace(pa.array(spaced, pa.large_string()))
+
     def _split(self, text: str) -> list[str]:
         if _PLAIN.fullmatch(text):
             return text.lower().split()
@@ -74,8 +96,7 @@ class Chunker:
         if _PLAIN.fullmatch(chunk):
             if chunk.isalpha():
                 return [byte_alphabet(chunk)]
-            if chunk[-1] in ".,;:!?" and chunk[:-1].isalpha():
-                return [byte_alphabet(chunk[:-1]), chunk[-1]]
+            return [byte_alphabet(word) for word in _PLAIN_WORDS.findall(chunk)]
         return [word for word, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(chunk)]
 
 

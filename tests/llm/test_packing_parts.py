@@ -14,6 +14,7 @@ from bazaarlake.llm.packing import (
     ChunkIds,
     boundaries,
     document,
+    documents,
 )
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -80,3 +81,36 @@ def test_plain_words_are_encoded_without_a_split(monkeypatch):
     library = encoder.chunker.tokenizer.encode(text, add_special_tokens=False).ids
     assert np.frombuffer(ids, "<u4").tolist() == library
     assert split == ["é", "don't", "ab1", "end."]
+
+
+def test_a_word_is_encoded_once_whatever_signs_stand_beside_it(monkeypatch):
+    encoder = ChunkIds(PATH)
+    encoded = []
+    tokenize = encoder._tokenize
+    monkeypatch.setattr(encoder, "_tokenize", lambda word: encoded.append(word) or tokenize(word))
+    text = "naïvetét. naïvetét, (naïvetét) naïvetét&&& thstly. thstly! thstly 's it's&&&"
+    ids = document((1,), encoder.chunker.chunks(text), encoder, b"").ids
+    library = encoder.chunker.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(ids, "<u4").tolist() == library
+    assert len(encoded) == len(set(encoded))
+
+
+@pytest.mark.parametrize("remembered", [1, 7, 1_000_000])
+def test_documents_read_together_are_those_read_alone(remembered):
+    """Chunks of many texts are looked up together; ids, places and costs stay each text's own."""
+    texts = [*TEXTS, " ", "  \x0b led\rby\nspace ", "<|endoftext|>" * 60, "", "ID49407 id49407 <|ENDOFTEXT|>",
+             "q" * 200, "J\u030c \u0130\x85\xa0\u2028x\x1cy", "a's&&'s 12'll''t", "ä½ł 你 ä½ł. 你."]
+    encoder, alone = ChunkIds(PATH, remembered), ChunkIds(PATH)
+    lists = encoder.chunker.chunk_lists(texts)
+    together = documents([(n,) for n in range(len(texts))], lists, encoder, END)
+    assert len(encoder) <= remembered
+    for n, (doc, text) in enumerate(zip(together, texts, strict=True)):
+        single = document((n,), alone.chunker.chunks(text), alone, END)
+        assert doc.row == (n,) and doc.ids == single.ids
+        assert doc.stops.tolist() == single.stops.tolist()
+        assert doc.costs.tolist() == single.costs.tolist()
+        parts = alone.chunker.chunks(text)
+        if all(isinstance(part, str) for part in parts):
+            library = alone.chunker.tokenizer.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(doc.ids, "<u4").tolist() == [*library, 2]
+    assert boundaries(together, 64) == plain_boundaries(together, encoder, 64)
