@@ -42,8 +42,6 @@ WORD_CUT_EVERY = 24
 SEGMENT_WINDOWS = 64
 # Distinct chunks and words a Python worker remembers, over its tasks, before it forgets them all.
 REMEMBERED_CHUNKS = 1_000_000
-# Bytes of text whose chunks are looked up together, each distinct one once.
-SLICE_BYTES = 8_000_000
 SENTENCE_ENDS = ".!?…。！？"
 # How so many ids are written.
 _WRITERS = [Struct(f"<{count}I").pack for count in range(64)]
@@ -130,12 +128,8 @@ def document(row: tuple, chunks: list, encoder: ChunkIds, end: bytes) -> Documen
 def documents(
     rows: list[tuple], chunks: pa.ListArray, encoder: ChunkIds, end: bytes
 ) -> list[Document]:
-    """One document per row and list of chunks; each distinct chunk is looked up once."""
-    coded = chunks.values.dictionary_encode()
-    distinct = coded.dictionary.to_numpy(zero_copy_only=False)
-    known = pa.array(list(map(encoder.__getitem__, distinct)), pa.large_binary())
-    lists = pa.ListArray.from_arrays(chunks.offsets, known.take(coded.indices))
-    ids = pc.binary_join(lists, pa.scalar(b"", pa.large_binary())).to_numpy(zero_copy_only=False)
+    """One document per row and list of chunks."""
+    ids = _joined(chunks, encoder)
     tokens = np.frombuffer(b"".join(ids), "<u4")
     ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)
     starts = np.concatenate([[0], ends[:-1]])
@@ -151,6 +145,16 @@ def documents(
     ]
 
 
+def _joined(chunks: pa.ListArray, encoder: ChunkIds) -> np.ndarray:
+    """The ids of every list of chunks; each distinct chunk is looked up once."""
+    coded = chunks.values.dictionary_encode()
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+    known = pa.array(list(map(encoder.__getitem__, distinct)), pa.large_binary())
+    lists = pa.ListArray.from_arrays(chunks.offsets, known.take(coded.indices))
+    joined = pc.binary_join(lists, pa.scalar(b"", pa.large_binary()))
+    return joined.to_numpy(zero_copy_only=False)
+
+
 def _every(reached: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The first word end behind every WORD_CUT_EVERY tokens of a document."""
     counts = (ends - starts) // WORD_CUT_EVERY
@@ -335,7 +339,7 @@ def pack(
                     held, done = held[n:], reached
             return pa.RecordBatch.from_pydict(values, schema=arrow)
 
-        for batch in text_slices(batches, "text", SLICE_BYTES):
+        for batch in text_slices(batches, "text"):
             if arrow is None:
                 fields = [batch.schema.field(name) for name in columns]
                 extra = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "padded_length"]
@@ -346,10 +350,12 @@ def pack(
                     for name in extra
                 ]
                 arrow = pa.schema(fields)
-            chunks = encoder.chunker.chunk_lists(texts_of(batch.column("text")))
             rows = list(zip(*(batch.column(name).to_pylist() for name in columns), strict=True))
             waiting = sum(d.tokens for d in held) - done
-            for doc in documents(rows, chunks, encoder, end):
+            # The chunks are let go before the next ones are made.
+            for doc in documents(
+                rows, encoder.chunker.chunk_lists(texts_of(batch.column("text"))), encoder, end
+            ):
                 held.append(doc)
                 waiting += doc.tokens
                 if waiting >= SEGMENT_WINDOWS * window:
