@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bazaarlake.session import written
+from bazaarlake.sources.tables import COMPRESSION
 
 _POSITION_BITS = 33  # layout of monotonically_increasing_id
 
@@ -29,6 +30,7 @@ def _positions(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
         .sortWithinPartitions(*order)
         .withColumn("_id", F.monotonically_increasing_id()),
         label,
+        COMPRESSION,
     ).withColumn("_part", F.shiftright("_id", _POSITION_BITS))
 
     # One row per partition from here on: bounded by the partition count.

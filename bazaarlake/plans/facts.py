@@ -9,6 +9,8 @@ Where several facts are built, ``orders_with_customers`` does the former once fo
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,6 +128,40 @@ def fact_orders(
     )
 
 
+def fact_orders_together(
+    orders: DataFrame,
+    customers: DataFrame,
+    items: DataFrame,
+    payments: DataFrame,
+    reviews: DataFrame,
+    hot: Sequence[str] = (),
+) -> DataFrame:
+    """``fact_orders`` for all orders: lines go to the task of their order and are folded there.
+
+    Lines of an order seldom lie in one file, so folding them before the shuffle, as
+    ``fact_orders`` does, takes a hash table of nearly all lines, which spills, and sends
+    most of them twice: by order and seller, then by order. Only the lines of ``hot`` orders
+    are folded first.
+    """
+    is_hot = F.coalesce(F.col("order_id").isin(*hot), F.lit(False))
+
+    def gathered(lines: DataFrame, *columns: str) -> DataFrame:
+        rows = lines.filter(~is_hot) if hot else lines
+        return rows.select("order_id", *columns).repartition("order_id")
+
+    together = fact_orders(
+        orders.filter(~is_hot) if hot else orders,
+        customers,
+        gathered(items, "seller_id", "price", "freight_value"),
+        gathered(payments, "payment_type", "payment_installments", "payment_value"),
+        reviews,
+    )
+    if not hot:
+        return together
+    lines = [table.filter(is_hot) for table in (items, payments, reviews)]
+    return together.unionByName(fact_orders(orders.filter(is_hot), customers, *lines))
+
+
 # -- line grain ----------------------------------------------------------------------
 
 

@@ -9,13 +9,16 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from contextlib import nullcontext
 from functools import partial
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarlake.config import WarehouseConfig
 from bazaarlake.plans.silver import build_silver
 from bazaarlake.plans.warehouse import DIMENSIONS, FACTS, GOLD_TABLES, Warehouse
+from bazaarlake.session import drop_written, shuffles_dropped
 from bazaarlake.sources.audit import TableLoad, batch_total, run_loads, timed_load
 from bazaarlake.sources.csv_files import SOURCES, CsvSource, bad_lines, read_raw
 from bazaarlake.sources.schemas import SILVER
@@ -24,10 +27,13 @@ from bazaarlake.sources.tables import read_table, replace_table
 _LOOKUP = "product_category_translation"
 
 
-def _batch(layer: str, load: Callable[[], list[TableLoad]]) -> list[TableLoad]:
+def _batch(
+    spark: SparkSession, layer: str, load: Callable[[], list[TableLoad]]
+) -> list[TableLoad]:
     """The loads of a layer and a row for all of them together."""
     started = time.monotonic()
-    audit = load()
+    with shuffles_dropped(spark):
+        audit = load()
     return [*audit, batch_total(layer, audit, time.monotonic() - started)]
 
 
@@ -60,7 +66,7 @@ def load_bronze(spark: SparkSession, config: WarehouseConfig) -> list[TableLoad]
         name: partial(_load_source, spark, config, source)
         for name, source in SOURCES.items()
     }
-    return _batch("bronze", lambda: run_loads(loads, "bronze", config.parallel_loads))
+    return _batch(spark, "bronze", lambda: run_loads(loads, "bronze", config.parallel_loads))
 
 
 def load_silver(spark: SparkSession, config: WarehouseConfig) -> list[TableLoad]:
@@ -80,7 +86,7 @@ def load_silver(spark: SparkSession, config: WarehouseConfig) -> list[TableLoad]
         others = {name: partial(load, name) for name in SILVER if name != _LOOKUP}
         return first + run_loads(others, "silver", config.parallel_loads)
 
-    return _batch("silver", load_all)
+    return _batch(spark, "silver", load_all)
 
 
 def _laid_out(name: str, df: DataFrame) -> DataFrame:
@@ -98,11 +104,21 @@ def _laid_out(name: str, df: DataFrame) -> DataFrame:
 
 def load_gold(spark: SparkSession, config: WarehouseConfig) -> list[TableLoad]:
     """Write the star schema: dimensions first, then facts with the keys just written."""
+    # The two facts that shuffle most take turns: their shuffles never lie on disk together.
+    turn = Lock()
 
     def load(wh: Warehouse, name: str) -> TableLoad:
         path = config.table_path("gold", name)
-        df = _laid_out(name, wh.gold(name))
-        return timed_load("gold", name, df, lambda out, check: replace_table(out, path, check))
+        table = wh.gold(name)
+        df = _laid_out(name, table)
+        try:
+            with turn if name in ("fact_order_items", "fact_orders") else nullcontext():
+                return timed_load(
+                    "gold", name, df, lambda out, check: replace_table(out, path, check)
+                )
+        finally:
+            if name in DIMENSIONS:
+                drop_written(table)  # its numbered rows
 
     def load_all() -> list[TableLoad]:
         over_silver = Warehouse.from_tables(spark, config)
@@ -113,13 +129,13 @@ def load_gold(spark: SparkSession, config: WarehouseConfig) -> list[TableLoad]:
         )
         over_dims = Warehouse.from_tables(spark, config, gold=DIMENSIONS)
         over_dims.share_orders()
-        return audit + run_loads(
-            {name: partial(load, over_dims, name) for name in FACTS},
-            "gold",
-            config.parallel_loads,
-        )
+        loads = {name: partial(load, over_dims, name) for name in FACTS}
+        try:
+            return audit + run_loads(loads, "gold", config.parallel_loads)
+        finally:
+            over_dims.drop_shared_orders()
 
-    return _batch("gold", load_all)
+    return _batch(spark, "gold", load_all)
 
 
 def register_tables(spark: SparkSession, config: WarehouseConfig) -> None:

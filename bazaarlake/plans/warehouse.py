@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.config import ReportParams, WarehouseConfig
+from bazaarlake.operators.hot_keys import hot_keys
 from bazaarlake.operators.ranking import add_surrogate_key
 from bazaarlake.plans import dims, facts
 from bazaarlake.plans.calendar import calendar
 from bazaarlake.plans.silver import build_silver
-from bazaarlake.session import written
+from bazaarlake.session import drop_written, written
 from bazaarlake.sources.csv_files import SOURCES, accepted
 from bazaarlake.sources.schemas import SILVER
 from bazaarlake.sources.tables import COMPRESSION, read_table
@@ -50,6 +51,7 @@ class Warehouse:
         self._gold = dict(gold or {})
         self._built: dict[str, DataFrame] = {}
         self._orders: DataFrame | None = None
+        self._hot_orders: list[str] = []
 
     @classmethod
     def from_tables(
@@ -81,10 +83,19 @@ class Warehouse:
     def share_orders(self) -> None:
         """Join the orders to their customers and write them once, for all facts to come.
 
-        Worth a table where several facts are built, as in a load.
+        Worth a table where several facts are built, as in a load. So is a count of the
+        orders with very many lines.
         """
         keyed = facts.orders_with_customers(self.silver("orders"), self.gold("dim_customers"))
         self._orders = written(keyed, "orders-with-customers", COMPRESSION)
+        items, payments = self.silver("order_items"), self.silver("order_payments")
+        self._hot_orders = sorted({*hot_keys(items, "order_id"), *hot_keys(payments, "order_id")})
+
+    def drop_shared_orders(self) -> None:
+        """Delete what ``share_orders`` wrote, once all facts are loaded."""
+        if self._orders is not None:
+            drop_written(self._orders)
+        self._orders = None
 
     def _fact_headers(self) -> DataFrame:
         """Orders for the facts: the shared ones, else the cleansed table."""
@@ -142,7 +153,16 @@ class Warehouse:
         )
 
     def _fact_orders(self) -> DataFrame:
-        return self.fact_orders()
+        if self._orders is None:
+            return self.fact_orders()
+        return facts.fact_orders_together(
+            self._orders,
+            self.silver("customers"),
+            self.silver("order_items"),
+            self.silver("order_payments"),
+            self.silver("order_reviews"),
+            self._hot_orders,
+        )
 
     def _fact_order_items(self) -> DataFrame:
         return facts.fact_order_items(

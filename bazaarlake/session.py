@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +72,10 @@ def drop_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+# Intermediate tables of ``written`` by the name of their folder, which is used once.
+_WRITTEN: dict[str, str] = {}
+
+
 def written(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
@@ -79,4 +85,29 @@ def written(df: DataFrame, label: str, compression: str | None = None) -> DataFr
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path, compression=compression)
+    _WRITTEN[path.rsplit("/", 1)[-1]] = path
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_written(df: DataFrame) -> None:
+    """Delete the intermediate tables ``df`` reads, once nothing reads them any more."""
+    spark = df.sparkSession
+    for name in {file.rsplit("/", 2)[-2] for file in df.inputFiles()} & {*_WRITTEN}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop(name))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query are deleted when it ends, not when its plan is collected.
+
+    For queries that run once, such as the writes of a load: one that ran a second time
+    would have to shuffle again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

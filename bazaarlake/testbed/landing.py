@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake.config import WarehouseConfig
 from bazaarlake.plans.pipeline import load_bronze, load_gold, load_silver
-from bazaarlake.session import scratch_path, written
+from bazaarlake.session import scratch_path, shuffles_dropped, written
 from bazaarlake.sources.audit import audit_frame
 from bazaarlake.sources.csv_files import (
     SOURCES,
@@ -78,8 +78,9 @@ def landed_warehouse(spark: SparkSession, sf_dir: str) -> WarehouseConfig:
     config = WarehouseConfig(
         source_root=f"{root}/files", warehouse_root=root, raw_quotes=True, params=PARAMS
     )
-    for name in SOURCES:
-        land(spark, sf_dir, name, config.source_path(name))
+    with shuffles_dropped(spark):
+        for name in SOURCES:
+            land(spark, sf_dir, name, config.source_path(name))
     return config
 
 
