@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlake.functions import pct, weighted_mean
+from bazaarlake.functions import pct, ratio
+from bazaarlake.operators.hot_keys import folded_per_key
 from bazaarlake.operators.lookup import lookup_join
 from bazaarlake.operators.ranking import global_ntile
 from bazaarlake.operators.rollups import items_per_order_and
@@ -16,25 +17,53 @@ from bazaarlake.plans.questions.common import LINE_ID, kept_lines
 from bazaarlake.plans.warehouse import Warehouse
 
 
-def _seller_performance(wh: Warehouse, min_orders: int) -> DataFrame:
-    """Orders, revenue, review score and lateness of sellers with enough orders."""
-    fact = wh.loaded("fact_order_items")
-    if fact is None:
+def _sold(wh: Warehouse) -> tuple[DataFrame, Column]:
+    """Lines of valid orders by order and seller with their sums, and how to count orders."""
+    fact, orders = wh.loaded("fact_order_items"), wh.order_outcomes()
+    score, late = F.col("review_score"), F.col("is_late")
+    if fact is None or wh.loaded("fact_orders") is None:
         lines = items_per_order_and(wh.silver("order_items"), "seller_id")
-    else:
-        sellers = wh.gold("dim_sellers").select("seller_key", "seller_id")
-        lines = items_per_order_and(
-            lookup_join(fact, sellers, "seller_key", "inner", LINE_ID), "seller_id"
+        items = F.col("items")
+        sold = lines.join(orders, "order_id").withColumns(
+            {
+                "score": score * items,
+                "scored": F.when(score.isNotNull(), items),
+                "late": late * items,
+            }
         )
+        return sold, F.count_distinct("order_id")
+    sellers = wh.gold("dim_sellers").select("seller_key", "seller_id")
+    lines = lookup_join(
+        fact.select(*LINE_ID, "seller_key", "price"), sellers, "seller_key", "inner", LINE_ID
+    )
+    sold = folded_per_key(
+        lines.select("order_id", "seller_id", "price"),
+        "order_id",
+        "seller_id",
+        orders,
+        wh.hot_orders(),
+        F.count(F.lit(1)).alias("items"),
+        F.sum("price").alias("price"),
+        F.sum(score).alias("score"),
+        F.count(score).alias("scored"),
+        F.sum(late).alias("late"),
+    )
+    # One row per order and seller.
+    return sold, F.count("order_id")
+
+
+def _seller_performance(wh: Warehouse, min_orders: int) -> DataFrame:
+    """Orders, revenue, review score and lateness of sellers with enough orders."""
+    sold, orders = _sold(wh)
     performance = scorecard(
-        lines.join(wh.order_outcomes(), "order_id"),
+        sold,
         "seller_id",
-        F.count_distinct("order_id"),
+        orders,
         min_orders,
         [
             F.sum("price").alias("revenue"),
-            weighted_mean(F.col("review_score"), F.col("items"), 2).alias("avg_review"),
-            pct(F.sum(F.col("is_late") * F.col("items")), F.sum("items"), 1).alias("late_pct"),
+            ratio(F.sum("score"), F.sum("scored"), 2).alias("avg_review"),
+            pct(F.sum("late"), F.sum("items"), 1).alias("late_pct"),
         ],
     )
     sellers = wh.silver("sellers").select("seller_id", "seller_state")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlake.config import ReportParams, WarehouseConfig
-from bazaarlake.operators.hot_keys import hot_keys
+from bazaarlake.operators.hot_keys import HOT_ROWS, hot_keys
 from bazaarlake.operators.ranking import add_surrogate_key
 from bazaarlake.plans import dims, facts
 from bazaarlake.plans.calendar import calendar
@@ -202,6 +202,10 @@ class Warehouse:
             "product_id", F.col("product_category_name_eng").alias("category")
         )
 
+    def hot_orders(self) -> DataFrame:
+        """Ids of orders with many items, over the loaded order fact: few rows."""
+        return self.fact_orders().filter(F.col("item_count") >= HOT_ROWS).select("order_id")
+
     def order_outcomes(self) -> DataFrame:
         """What reports on items need to know of an order: status, lateness, review.
 
