@@ -4,7 +4,8 @@ A lookup whose source files are below ``spark.sql.autoBroadcastJoinThreshold`` i
 broadcast. Beyond that size the join shuffles, and a hot key would put its whole group
 into one task. ``lookup_join`` then spreads each lookup key over a fixed number of
 salts: the lookup side, which is far smaller than the rows it describes, is repeated
-per salt and the rows pick one salt each. Both sides are fresh shuffles, so the
+per salt and the rows pick one salt each. A load that has counted its keys names the
+hot ones and repeats no other. Both sides are fresh shuffles, so the
 adaptive skew join can split further at run time.
 """
 
@@ -46,21 +47,27 @@ def lookup_join(
     how: str = "left",
     spread: Sequence[str] | None = None,
     salts: int = SALTS,
+    hot: Sequence[str] | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``lookup`` on ``on``; a row matches what a plain join matches.
 
     ``spread`` names columns that differ between rows of one hot key; their hash
-    picks the salt, so a retried task routes each row the same way again.
+    picks the salt, so a retried task routes each row the same way again. Where the
+    ``hot`` keys are known, only these are salted and repeated, all others as they are.
     """
     if estimated_bytes(lookup) <= broadcast_limit(lookup):
         return rows.join(F.broadcast(lookup), on, how)
+    if hot is not None and not hot:
+        return rows.join(lookup, on, how)
     spread_over = list(spread or [c for c in rows.columns if c != on])
-    salted_rows = rows.withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread_over), F.lit(salts)).cast("int")
-    )
-    salted_lookup = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+    salt = F.pmod(F.xxhash64(*spread_over), F.lit(salts)).cast("int")
+    repeats = F.sequence(F.lit(0), F.lit(salts - 1))
+    if hot is not None:
+        is_hot = F.col(on).isin(*hot)
+        salt = F.when(is_hot, salt).otherwise(0)
+        repeats = F.when(is_hot, repeats).otherwise(F.array(F.lit(0)))
+    salted_rows = rows.withColumn("_salt", salt)
+    salted_lookup = lookup.withColumn("_salt", F.explode(repeats))
     return salted_rows.join(salted_lookup, [on, "_salt"], how).drop("_salt")
 
 

@@ -192,13 +192,15 @@ def fact_order_items(
     product_keys: DataFrame,
     seller_keys: DataFrame,
     calendar: DataFrame,
+    hot_products: Sequence[str] | None = None,
 ) -> DataFrame:
     header = _order_header(
         orders, customer_keys, calendar, "order_status", PURCHASED, DELIVERED_AT, PROMISED_AT
     )
     line = ["order_id", "order_item_id", "price"]
-    keyed = lookup_join(items, product_keys, "product_id", "left", line)
-    keyed = lookup_join(keyed, seller_keys, "seller_id", "left", line)
+    # Sellers first: they are few, and a lookup that shuffles sends their key, not their id.
+    keyed = lookup_join(items, seller_keys, "seller_id", "left", line).drop("seller_id")
+    keyed = lookup_join(keyed, product_keys, "product_id", "left", line, hot=hot_products)
     return keyed.join(header, "order_id").select(
         "order_id",
         "order_item_id",

@@ -52,6 +52,7 @@ class Warehouse:
         self._built: dict[str, DataFrame] = {}
         self._orders: DataFrame | None = None
         self._hot_orders: list[str] = []
+        self._hot_products: list[str] | None = None
 
     @classmethod
     def from_tables(
@@ -84,12 +85,13 @@ class Warehouse:
         """Join the orders to their customers and write them once, for all facts to come.
 
         Worth a table where several facts are built, as in a load. So is a count of the
-        orders with very many lines.
+        orders and products with very many lines.
         """
         keyed = facts.orders_with_customers(self.silver("orders"), self.gold("dim_customers"))
         self._orders = written(keyed, "orders-with-customers", COMPRESSION)
         items, payments = self.silver("order_items"), self.silver("order_payments")
         self._hot_orders = sorted({*hot_keys(items, "order_id"), *hot_keys(payments, "order_id")})
+        self._hot_products = hot_keys(items, "product_id")
 
     def drop_shared_orders(self) -> None:
         """Delete what ``share_orders`` wrote, once all facts are loaded."""
@@ -172,6 +174,7 @@ class Warehouse:
             self.product_keys,
             self.seller_keys,
             self.gold("dim_date"),
+            self._hot_products,
         )
 
     def _fact_payments(self) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from bazaarlake import session
 from bazaarlake.operators import hot_keys
+from bazaarlake.operators.lookup import lookup_join
 from bazaarlake.plans import pipeline, warehouse
 from bazaarlake.plans.pipeline import load_bronze, load_gold, load_silver
 from bazaarlake.plans.questions import QUESTIONS
@@ -59,6 +60,21 @@ def test_hot_keys_are_found_and_null_is_none(rows):
     assert hot_keys.hot_keys(rows.limit(0), "k", 1) == []
 
 
+@pytest.mark.parametrize("hot", [(), ("hot",)])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_only_hot_keys_of_a_lookup_are_repeated(spark, conf, rows, how, hot):
+    lookup = rows.select("k").distinct().filter("k IS NULL OR k <> '9'").withColumn("v", F.hash("k"))
+    expected = plain(rows.join(lookup, "k", how).select("id", "k", "v"))
+    conf(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    joined = lookup_join(rows, lookup, "k", how, ["id"], hot=hot)
+    assert plain(joined.select("id", "k", "v")) == expected
+    # The value is asked for, as a join nobody reads would be left out.
+    placed = joined.select("k", "v", F.spark_partition_id().alias("p")).distinct()
+    spread = {r["k"]: r["count"] for r in placed.groupBy("k").count().collect()}
+    assert (spread.pop("hot") >= 6) == bool(hot)
+    assert set(spread.values()) == {1}
+
+
 def test_folded_per_key_with_hot_and_null_keys(conf, rows):
     facts = rows.select("k").distinct().filter("k IS NULL OR k <> '9'").withColumn("f", F.hash("k"))
     facts = facts.unionByName(facts.filter("k = '3'"))  # facts may repeat
@@ -105,7 +121,7 @@ def test_facts_of_a_load_with_hot_orders_and_products(spark, sf_small, hot_silve
     monkeypatch.setattr(hot_keys, "HOT_ROWS", 400)
     conf(autoBroadcastJoinThreshold="-1")
     over, shared = warehouses(spark, sf_small, hot_silver)
-    assert shared._hot_orders == ["o5"]
+    assert (shared._hot_orders, shared._hot_products) == (["o5"], ["p7"])
     for name in FACTS:
         assert plain(shared.gold(name)) == plain(over.gold(name))
     # Lines of the hot order are folded before they are sent, in the second part of the union.
@@ -120,6 +136,8 @@ def test_a_load_sends_lines_once_by_their_order(spark, sf_small, conf):
     assert shuffles_by(orders, "order_id", "seller_id") == 0
     assert shuffles_by(orders, "order_id", "payment_type") == 0
     assert shuffles_by(orders, "order_id") == 4  # orders, items, payments, reviews
+    # No order and no product has many lines here, so no lookup is repeated.
+    assert "_salt" not in plan_of(shared.gold("fact_order_items")).split("seller_id")[0]
 
 
 @pytest.mark.parametrize("name", ["q18_seller_scorecard", "q20_sellers_at_risk"])
